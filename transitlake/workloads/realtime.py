@@ -7,13 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from transitlake.functions import path_stem, raw_path, utc_date, utc_hour, utc_stamp
-from transitlake.functions.codec import base64url_encode
+from transitlake.functions import path_stem, raw_path, utc_stamp
 from transitlake.operators.decode import decode_snapshots, quarantine
 from transitlake.operators.flatten import FEED_TABLES
 from transitlake.plans.compaction import compact_snapshots, compaction_report
 from transitlake.session import work_folder
-from transitlake.sinks.raw import SNAPSHOT_PARTITIONS, fetch_record, snapshot_rows
+from transitlake.sinks.raw import fetch_record, snapshot_rows
 from transitlake.sources.raw import attach_fetch_time, sidecar_fetch_time
 from transitlake.sources.tables import read_table
 from transitlake.workloads.tables import (
@@ -26,7 +25,7 @@ from transitlake.workloads.tables import (
     micros,
     raw_path_sql,
     rounded,
-    stamp_sql,
+    spread,
     table,
 )
 
@@ -82,12 +81,19 @@ def vehicle_fetches(events: DataFrame) -> DataFrame:
         return F.struct(
             F.concat_ws("-", F.lit("v"), e.cast("string"), i.cast("string")).alias("id"),
             body.alias("vehicle"),
-            F.lit(None).cast("struct<delay:int>").alias("alert"),
+            F.lit(None).cast("struct<cause:int>").alias("alert"),
         )
 
     vehicles = F.transform(F.sequence(F.lit(0).cast("bigint"), e % 4), vehicle)
-    nested = as_feed(F.when(e % 10 == 0, F.lit(0)).otherwise(seconds), _as_entities(vehicles, e))
-    encoded = encode_feeds(events.select("event_id", "ts", "user_id", nested.alias("feed")))
+    # Every eighth snapshot holds an alert before its vehicles.
+    alert = F.struct(
+        F.concat(F.lit("a-"), e.cast("string")).alias("id"),
+        F.get(vehicles, e % 4 + 1)["vehicle"].alias("vehicle"),
+        F.struct(F.lit(1).alias("cause")).alias("alert"),
+    )
+    entities = F.when(e % 8 == 0, F.concat(F.array(alert), vehicles)).otherwise(vehicles)
+    nested = as_feed(F.when(e % 10 == 0, F.lit(0)).otherwise(seconds), entities)
+    encoded = encode_feeds(spread(events).select("event_id", "ts", "user_id", nested.alias("feed")))
     content = F.col("content")
     broken = (
         F.when(F.col("event_id") % 7 == 3, F.lit("not valid protobuf data").cast("binary"))
@@ -101,31 +107,6 @@ def vehicle_fetches(events: DataFrame) -> DataFrame:
     )
 
 
-def _as_entities(vehicles: Column, e: Column) -> Column:
-    """Vehicles of the declared entity type; every eighth snapshot also holds an alert."""
-    from transitlake.schemas import FEED_MESSAGE, struct
-
-    entity = struct(f"feed {FEED_MESSAGE}")["feed"].dataType["entity"].dataType
-    kinds = {field.name: field.dataType for field in entity.elementType.fields}
-
-    def shaped(v: Column) -> Column:
-        return F.struct(
-            v["id"].alias("id"), v["vehicle"].cast(kinds["vehicle"]).alias("vehicle"),
-            F.lit(None).cast(kinds["trip_update"]).alias("trip_update"),
-            F.lit(None).cast(kinds["alert"]).alias("alert"),
-        )
-
-    alert = F.from_json(F.lit('{"cause": 1}'), kinds["alert"])
-    other = F.struct(
-        F.concat(F.lit("a-"), e.cast("string")).alias("id"),
-        F.lit(None).cast(kinds["vehicle"]).alias("vehicle"),
-        F.lit(None).cast(kinds["trip_update"]).alias("trip_update"),
-        alert.alias("alert"),
-    )
-    mixed = F.transform(vehicles, shaped).cast(entity)
-    return F.when(e % 8 == 0, F.concat(F.array(other).cast(entity), mixed)).otherwise(mixed)
-
-
 def vehicle_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_rows(vehicle_fetches(table(spark, sf_dir, "events")))
 
@@ -303,10 +284,9 @@ def trip_fetches(orders: DataFrame) -> DataFrame:
         stops.alias("stop_time_update"),
     )
     entity = F.struct(
-        F.concat(F.lit("tu-"), k.cast("string")).alias("id"), F.lit(None).alias("vehicle"),
-        update.alias("trip_update"), F.lit(None).alias("alert"),
+        F.concat(F.lit("tu-"), k.cast("string")).alias("id"), update.alias("trip_update")
     )
-    rows = orders.select("o_orderkey", "o_custkey", "o_orderdate", as_feed(seconds, F.array(entity)).alias("feed"))
+    rows = spread(orders).select("o_orderkey", "o_custkey", "o_orderdate", as_feed(seconds, F.array(entity)).alias("feed"))
     # Milliseconds from the key keep the names of one customer's snapshots apart.
     fetched = F.timestamp_micros(F.unix_micros("o_orderdate") + F.col("o_orderkey") * 1000)
     return encode_feeds(rows).select(
@@ -407,10 +387,9 @@ def alert_fetches(documents: DataFrame) -> DataFrame:
         entities.alias("informed_entity"),
     )
     entity = F.struct(
-        F.concat(F.lit("alert-"), d.cast("string")).alias("id"), F.lit(None).alias("vehicle"),
-        F.lit(None).alias("trip_update"), alert.alias("alert"),
+        F.concat(F.lit("alert-"), d.cast("string")).alias("id"), alert.alias("alert")
     )
-    rows = documents.select("doc_id", as_feed(d + 1_700_000_000, F.array(entity)).alias("feed"))
+    rows = spread(documents).select("doc_id", as_feed(d + 1_700_000_000, F.array(entity)).alias("feed"))
     fetched = F.timestamp_micros((F.col("doc_id") + 1_700_000_000) * 1_000_000)
     return encode_feeds(rows).select(
         F.lit("service_alerts").alias("feed_type"), feed_url(F.col("doc_id")).alias("url"),

@@ -7,8 +7,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from transitlake.schemas import FEED_MESSAGE, struct
-
 # The time columns are stored without a zone. Declared as TIMESTAMP they are read as UTC instants,
 # whatever the zone of the session is.
 _DECLARED = {
@@ -74,6 +72,14 @@ def raw_path_sql(feed_type: str, url: str, ts: str, extension: str) -> str:
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores where the input is one small file; large inputs are split already."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.isStreaming or rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)
+
+
 def encode_feeds(rows: DataFrame) -> DataFrame:
     """Replace the nested ``feed`` by its serialized ``content``: how the stand-ins get snapshots."""
     rest = rows.drop("feed")
@@ -94,9 +100,8 @@ def encode_feeds(rows: DataFrame) -> DataFrame:
 
 
 def as_feed(header_timestamp: Column, entities: Column) -> Column:
-    """Nested feed of the declared type; entity fields that are not given are NULL."""
-    kind = struct(f"feed {FEED_MESSAGE}")["feed"].dataType
-    return F.struct(F.struct(header_timestamp.alias("timestamp")).alias("header"), entities.alias("entity")).cast(kind)
+    """Nested feed; entity fields that are not given stay unset."""
+    return F.struct(F.struct(header_timestamp.alias("timestamp")).alias("header"), entities.alias("entity"))
 
 
 def micros(ts: Column) -> Column:

@@ -5,6 +5,7 @@ from transitlake.functions.codec import (  # noqa: F401
     base64url_encode,
     feed_key,
     feed_key_url,
+    feed_url,
 )
 from transitlake.functions.display import (  # noqa: F401
     compact_bytes,

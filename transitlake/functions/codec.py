@@ -35,3 +35,14 @@ def feed_key_url(key: Column) -> Column:
     return F.when(
         key.startswith(HTTP_MARK), F.concat(F.lit("http://"), F.substring(key, 2, 1 << 30))
     ).otherwise(F.concat(F.lit("https://"), key))
+
+
+def feed_url(base64url: Column) -> Column:
+    """Feed URL of an encoded folder name: what its feed key stands for.
+
+    Same as ``feed_key_url(feed_key(base64url_decode(x)))``, with the decoded text used in fewer
+    places: a URL with a scheme stays, a marked one is http, any other is https.
+    """
+    url = base64url_decode(base64url)
+    bare = F.when(url.startswith(HTTP_MARK), F.concat(F.lit("http://"), F.substring(url, 2, 1 << 30)))
+    return F.when(url.rlike("^https?://"), url).otherwise(F.coalesce(bare, F.concat(F.lit("https://"), url)))

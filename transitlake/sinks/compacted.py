@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from transitlake.functions.codec import feed_key, feed_url
+
 # Codec of the archive.
 CODEC = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
 
@@ -51,10 +53,7 @@ def run_counts(listing: DataFrame, written: DataFrame) -> DataFrame:
 
 def run_records(counts: DataFrame, root: str) -> DataFrame:
     """Result record of each compacted feed and day; the path is NULL where nothing was written."""
-    from transitlake.functions.codec import feed_key
-    from transitlake.operators.flatten import feed_url_of
-
-    url = feed_url_of(F.col("base64url"))
+    url = feed_url(F.col("base64url"))
     day = F.concat(F.lit("date="), F.col("date").cast("string"))
     path = F.concat_ws(
         "/", F.lit(root.rstrip("/")), "feed_type", day, F.concat(F.lit("base64url="), F.col("base64url"))

@@ -16,7 +16,7 @@ _DECLARED = {
 }
 
 # Feeds that the stand-ins spread their rows over.
-N_FEEDS = 20
+N_FEEDS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

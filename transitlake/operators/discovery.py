@@ -36,13 +36,13 @@ def new_feeds(discovered: DataFrame, known: DataFrame) -> DataFrame:
     return discovered.select(*keys).distinct().join(known.select(*keys), keys, "left_anti")
 
 
-def run_requests(discovered: DataFrame, date: str) -> DataFrame:
-    """One request per discovered feed of a day; its key makes a repeated request recognisable."""
-    keys = discovered.select("feed_type", "feed_key").distinct()
-    return keys.select(
-        F.concat_ws("_", "feed_type", F.lit(date), "feed_key").alias("run_key"),
-        "feed_type", F.lit(date).alias("date"), "feed_key",
-    )
+def run_requests(discovered: DataFrame) -> DataFrame:
+    """One request per discovered (feed_type, date, feed_key).
+
+    Its key is the same however often the feed is discovered, so a repeated request is recognised.
+    """
+    cells = discovered.select("feed_type", F.col("date").cast("string").alias("date"), "feed_key").distinct()
+    return cells.select(F.concat_ws("_", "feed_type", "date", "feed_key").alias("run_key"), *cells.columns)
 
 
 def work_grid(known: DataFrame, first_day: str, last_day: str) -> DataFrame:

@@ -449,9 +449,9 @@ def sidecar_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(e % 17 == 0, F.lit('{"feed_id": "x"}'))
         .otherwise(F.to_json(F.struct(F.lit("x").alias("feed_id"), utc_stamp(ts).alias("fetch_timestamp"))))
     )
-    sidecars = events.where(e % 5 != 0).select(
-        path_stem(path).alias("stem"), sidecar_fetch_time(document).alias("fetch_timestamp")
-    )
+    # The sidecar of every fifth snapshot lies under another name.
+    beside = F.when(e % 5 == 0, F.concat(path_stem(path), F.lit("-other"))).otherwise(path_stem(path))
+    sidecars = events.select(beside.alias("stem"), sidecar_fetch_time(document).alias("fetch_timestamp"))
     joined = attach_fetch_time(snapshots, sidecars)
     return joined.select("event_id", "stem", micros(F.col("fetch_timestamp")).alias("fetch_us"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("scalar", "realtime", "registry", "inventory", "schedule", "telemetry")
+_MODULES = ("scalar", "realtime", "registry", "inventory", "schedule", "telemetry", "streams")
 
 
 def all_queries() -> dict:

@@ -30,5 +30,6 @@ from transitlake.functions.times import (  # noqa: F401
     seconds_since,
     utc_date,
     utc_hour,
+    utc_iso,
     utc_stamp,
 )

@@ -1,4 +1,8 @@
-"""Feed URL codecs: unpadded base64url and the short feed key."""
+"""Feed URL codecs: unpadded base64url and the short feed key.
+
+Each function uses its argument once or on cheap tests only, because Catalyst copies an argument to
+every place where it is used.
+"""
 
 from __future__ import annotations
 
@@ -10,39 +14,28 @@ HTTP_MARK = "~"
 
 def base64url_encode(url: Column) -> Column:
     """URL-safe base64 without padding. Spark breaks long base64 into lines; the breaks go too."""
-    plain = F.regexp_replace(F.base64(F.encode(url, "UTF-8")), r"[\r\n=]", "")
-    return F.translate(plain, "+/", "-_")
+    return F.translate(F.base64(F.encode(url, "UTF-8")), "+/=\r\n", "-_")
 
 
 def base64url_decode(encoded: Column) -> Column:
-    """Text behind an unpadded base64url string; NULL when it is not base64 or not UTF-8."""
-    bare = F.regexp_replace(F.translate(encoded, "-_", "+/"), "=+$", "")
-    pad = F.repeat(F.lit("="), F.pmod(-F.length(bare), F.lit(4)).cast("int"))
-    return F.try_validate_utf8(F.try_to_binary(F.concat(bare, pad), F.lit("base64")).cast("string"))
+    """Text behind a base64url string, padded or not; NULL when it is not base64 or not UTF-8."""
+    # A lone character in the last group of four carries less than a byte.
+    valid = encoded.rlike(r"^(?:[A-Za-z0-9_-]{4})*(?:[A-Za-z0-9_-]{2,3}=*)?$")
+    binary = F.unbase64(F.translate(encoded, "-_=", "+/"))
+    return F.when(valid, F.try_validate_utf8(binary.cast("string")))
 
 
 def feed_key(url: Column) -> Column:
     """Short key of a feed URL: https is dropped, http becomes a mark, anything else stays."""
-    return (
-        F.when(url.startswith("http://"), F.concat(F.lit(HTTP_MARK), F.substring(url, 8, 1 << 30)))
-        .when(url.startswith("https://"), F.substring(url, 9, 1 << 30))
-        .otherwise(url)
-    )
+    marked = F.regexp_replace(url, "^http://", HTTP_MARK)
+    return F.regexp_replace(marked, "^https://", "")
 
 
 def feed_key_url(key: Column) -> Column:
     """URL behind a feed key. A key without scheme or mark is read as https."""
-    return F.when(
-        key.startswith(HTTP_MARK), F.concat(F.lit("http://"), F.substring(key, 2, 1 << 30))
-    ).otherwise(F.concat(F.lit("https://"), key))
+    return F.regexp_replace(F.concat(F.lit("https://"), key), f"^https://{HTTP_MARK}", "http://")
 
 
 def feed_url(base64url: Column) -> Column:
-    """Feed URL of an encoded folder name: what its feed key stands for.
-
-    Same as ``feed_key_url(feed_key(base64url_decode(x)))``, with the decoded text used in fewer
-    places: a URL with a scheme stays, a marked one is http, any other is https.
-    """
-    url = base64url_decode(base64url)
-    bare = F.when(url.startswith(HTTP_MARK), F.concat(F.lit("http://"), F.substring(url, 2, 1 << 30)))
-    return F.when(url.rlike("^https?://"), url).otherwise(F.coalesce(bare, F.concat(F.lit("https://"), url)))
+    """Feed URL of an encoded folder name, by way of its key: without a scheme it becomes https."""
+    return feed_key_url(feed_key(base64url_decode(base64url)))

@@ -4,45 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_DAY = 86_400_000_000
-_HOUR = 3_600_000_000
-_MINUTE = 60_000_000
 
+def utc_clock(ts: Column) -> Column:
+    """The UTC wall clock of a timestamp, as a timestamp without zone."""
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch)
 
-def _two(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 2, "0")
 
-
-def _floor(value: Column, step: int) -> Column:
-    """Whole steps below ``value``, also right before 1970."""
-    return ((value - F.pmod(value, F.lit(step))) / step).cast("bigint")
+def utc_text(ts: Column) -> Column:
+    """UTC wall clock like ``2025-01-15 14:20:30.123456``; a fraction has no trailing zeros."""
+    return utc_clock(ts).cast("string")
 
 
 def utc_date(ts: Column) -> Column:
     """UTC calendar day of a timestamp as DATE."""
-    return F.date_from_unix_date(_floor(F.unix_micros(ts), _DAY).cast("int"))
-
-
-def _clock(ts: Column) -> tuple[Column, Column]:
-    micros = F.unix_micros(ts)
-    return utc_date(ts).cast("string"), F.pmod(micros, F.lit(_DAY))
+    return utc_clock(ts).cast("date")
 
 
 def utc_hour(ts: Column) -> Column:
     """Start of the UTC hour, like ``2025-01-15T14:00:00Z``."""
-    day, rest = _clock(ts)
-    return F.concat(day, F.lit("T"), _two(_floor(rest, _HOUR)), F.lit(":00:00Z"))
+    return F.concat(F.translate(F.substring(utc_text(ts), 1, 13), " ", "T"), F.lit(":00:00Z"))
 
 
 def utc_stamp(ts: Column) -> Column:
     """UTC time with milliseconds cut, not rounded, like ``2025-01-15T14:20:30.123Z``."""
-    day, rest = _clock(ts)
-    hour, minute = _floor(rest, _HOUR), F.pmod(_floor(rest, _MINUTE), F.lit(60))
-    second, milli = F.pmod(_floor(rest, 1_000_000), F.lit(60)), F.pmod(_floor(rest, 1000), F.lit(1000))
-    return F.concat(
-        day, F.lit("T"), _two(hour), F.lit(":"), _two(minute), F.lit(":"), _two(second), F.lit("."),
-        F.lpad(milli.cast("string"), 3, "0"), F.lit("Z"),
-    )
+    # 23 characters hold the text up to the milliseconds; shorter text lacks trailing zeros.
+    text = utc_text(ts)
+    whole = F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text)
+    return F.concat(F.translate(F.rpad(F.substring(whole, 1, 23), 23, "0"), " ", "T"), F.lit("Z"))
+
+
+def utc_iso(ts: Column) -> Column:
+    """ISO text with offset: microseconds in six digits where there are any, like ``…:30.120000+00:00``."""
+    text = F.translate(utc_text(ts), " ", "T")
+    return F.concat(F.when(F.length(text) == 19, text).otherwise(F.rpad(text, 26, "0")), F.lit("+00:00"))
 
 
 def iso_timestamp(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from transitlake.functions.codec import base64url_encode
 from transitlake.functions.paths import path_stem, raw_path
-from transitlake.functions.times import utc_date, utc_hour
+from transitlake.functions.times import utc_date, utc_hour, utc_iso
 
 # Response headers that are kept.
 KEPT_HEADERS = ("etag", "last-modified", "content-type", "content-length")
@@ -19,18 +19,6 @@ def kept_headers(headers: Column) -> Column:
     return F.map_filter(headers, lambda name, _: F.lower(name).isin(*KEPT_HEADERS))
 
 
-def iso_utc(ts: Column) -> Column:
-    """Timestamp as ISO text with microseconds where there are any, and offset +00:00."""
-    micros = F.unix_micros(ts)
-    rest = F.pmod(micros, F.lit(1_000_000))
-    seconds = F.pmod(F.floor(micros / 1_000_000), F.lit(86_400))
-    clock = F.format_string(
-        "T%02d:%02d:%02d", F.floor(seconds / 3600), F.floor(seconds / 60) % 60, seconds % 60
-    )
-    fraction = F.when(rest > 0, F.format_string(".%06d", rest)).otherwise("")
-    return F.concat(utc_date(ts).cast("string"), clock, fraction, F.lit("+00:00"))
-
-
 def fetch_record(fetches: DataFrame) -> Column:
     """Fetch record as JSON text; missing values are written as null."""
     fields = (
@@ -38,7 +26,7 @@ def fetch_record(fetches: DataFrame) -> Column:
     )
     record = F.struct(
         *(F.col(name) for name in fields),
-        iso_utc(F.col("fetch_ts")).alias("fetch_timestamp"),
+        utc_iso(F.col("fetch_ts")).alias("fetch_timestamp"),
         F.col("duration_ms"),
         F.col("status_code").alias("response_code"),
         F.col("content_length"),

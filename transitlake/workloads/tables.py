@@ -16,12 +16,13 @@ _DECLARED = {
 }
 
 # Feeds that the stand-ins spread their rows over.
-N_FEEDS = 8
+N_FEEDS = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read.schema(_DECLARED[name]) if name in _DECLARED else spark.read
-    return reader.parquet(f"{sf_dir}/{name}.parquet")
+    rows = reader.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in _DECLARED else rows
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -42,13 +42,10 @@ def utc_iso(ts: Column) -> Column:
 
 def iso_timestamp(text: Column) -> Column:
     """ISO-8601 text as timestamp, NULL when it is not one. Text without an offset is UTC."""
-    text = F.trim(text)
-    zoned = (
-        F.when(text.rlike(r"(Z|z|[+-]\d{2}:?\d{2})$") & (F.length(text) > 10), text)
-        .when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
-        .otherwise(F.concat(text, F.lit("Z")))
-    )
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(zoned))
+    timed = F.regexp_replace(F.trim(text), r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00Z")
+    zoned = F.regexp_replace(timed, r"(:\d{2}(?:\.\d+)?)$(?<![+-]\d{2}:\d{2})", "$1Z")
+    # A time of day alone would be read as today.
+    return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(zoned))
 
 
 def previous_day(now: Column) -> Column:

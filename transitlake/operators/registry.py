@@ -30,30 +30,32 @@ BACKOFF_MAX_RANGE = (1.0, 60.0)
 
 def http_url(url: Column) -> Column:
     """URL in its normal form: scheme and host in lower case, no default port, never an empty path."""
-    parts = r"^([A-Za-z]+)://([^/?#]*)(.*)$"
-    scheme = F.lower(F.regexp_extract(url, parts, 1))
-    port = F.when(scheme == "https", ":443").when(scheme == "http", ":80").otherwise("")
-    host = F.lower(F.regexp_extract(url, parts, 2))
-    host = F.when(
-        (port != "") & F.endswith(host, port), F.substring(host, F.lit(1), F.length(host) - F.length(port))
-    ).otherwise(host)
-    rest = F.regexp_extract(url, parts, 3)
-    rest = F.when(F.startswith(rest, F.lit("/")), rest).otherwise(F.concat(F.lit("/"), rest))
-    return F.when(url.rlike(parts), F.concat(scheme, F.lit("://"), host, rest)).otherwise(url)
+    head = F.lower(F.regexp_extract(url, r"^[A-Za-z]+://[^/?#]*", 0))
+    head = F.regexp_replace(head, r"^(https://.*):443$|^(http://.*):80$", "$1$2")
+    tail = F.regexp_replace(url, r"^[A-Za-z]+://[^/?#]*", "")
+    return F.regexp_replace(F.concat(head, tail), r"^([a-z]+://[^/?#]+)(?=[?#]|$)", "$1/")
 
 
 def schedule_url_list(url: Column, urls: Column) -> Column:
     """One list of schedule URLs: a single URL becomes a list, or leads the list that lacks it."""
-    url = http_url(url)
+    single = F.array_compact(F.array(http_url(url)))
+    # The list is searched once it is normal as well; array_except would drop repeated entries.
     listed = F.transform(urls, http_url)
-    none = F.array().cast("array<string>")
-    return (
-        F.when(urls.isNull(), F.when(url.isNotNull(), F.array(url)).otherwise(none))
-        .when(url.isNotNull() & ~F.array_contains(listed, url), F.concat(F.array(url), listed))
-        .otherwise(listed)
+    return F.when(urls.isNull(), single).otherwise(
+        F.concat(F.filter(single, lambda u: ~F.array_contains(listed, u)), listed)
     )
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row.
+
+    Catalyst copies a projected expression into every place that uses it; as the output of a
+    generator it is a plain attribute instead.
+    """
+    values = F.struct(*(column.alias(name) for name, column in columns.items()))
+    return df.select("*", F.inline(F.array(values)))
+
+
 def _owners(agencies: DataFrame) -> DataFrame:
     """One row per owner of feeds: each system of an agency, else the agency itself."""
     has_systems = F.coalesce(F.size("systems"), F.lit(0)) > 0
@@ -67,28 +69,36 @@ def _owners(agencies: DataFrame) -> DataFrame:
         F.col("feeds").alias("feeds"),
     )
     owners = F.when(has_systems, F.col("systems")).otherwise(F.array(agency_itself))
-    return agencies.select(
+    rows = agencies.select(
         "agency_pos",
         F.col("id").alias("agency_id"),
         F.col("name").alias("agency_name"),
         F.col("auth").alias("agency_auth"),
-        schedule_url_list(F.col("schedule_url"), F.col("schedule_urls")).alias("agency_urls"),
+        "schedule_url",
+        "schedule_urls",
         F.posexplode(owners).alias("system_pos", "owner"),
     )
+    return once(
+        rows,
+        agency_urls=schedule_url_list(F.col("schedule_url"), F.col("schedule_urls")),
+        system_urls=schedule_url_list(F.col("owner.schedule_url"), F.col("owner.schedule_urls")),
+    )
 
 
 def flatten_registry(agencies: DataFrame, defaults: dict[str, Any] = DEFAULTS) -> DataFrame:
     """One row per feed with everything inherited, in registry order.
 
     Feed settings win over type and global defaults; auth comes from feed, system or agency, in this
-    order; schedule URLs come from the system or else the agency. Narrow: two explodes.
+    order; schedule URLs come from the system or else the agency. Narrow: nothing is shuffled.
     """
-    owners = _owners(agencies).select(
-        "*",
-        schedule_url_list(F.col("owner.schedule_url"), F.col("owner.schedule_urls")).alias("system_urls"),
+    rows = _owners(agencies).select(
+        "agency_pos", "system_pos", "agency_id", "agency_name", "agency_auth",
+        F.col("owner.id").alias("system_id"),
+        F.col("owner.name").alias("system_name"),
+        F.col("owner.auth").alias("system_auth"),
+        F.when(F.size("system_urls") > 0, F.col("system_urls")).otherwise(F.col("agency_urls")).alias("urls"),
         F.posexplode("owner.feeds").alias("feed_pos", "feed"),
     )
-    urls = F.when(F.size("system_urls") > 0, F.col("system_urls")).otherwise(F.col("agency_urls"))
     interval = F.lit(None).cast("int")
     for feed_type, seconds in defaults["intervals"].items():
         interval = F.when(F.col("feed.feed_type") == feed_type, F.lit(seconds)).otherwise(interval)
@@ -97,24 +107,21 @@ def flatten_registry(agencies: DataFrame, defaults: dict[str, Any] = DEFAULTS) -
         F.lit(defaults["retry"]["backoff_base"]).cast("double").alias("backoff_base"),
         F.lit(defaults["retry"]["backoff_max"]).cast("double").alias("backoff_max"),
     )
-    agency, system, kind = F.col("agency_id"), F.col("owner.id"), F.col("feed.feed_type")
-    return owners.select(
-        feed_id(agency, system, kind).alias("feed_id"),
-        feed_name(F.col("feed.name"), F.col("agency_name"), F.col("owner.name"), kind).alias("feed_name"),
-        http_url(F.col("feed.url")).alias("url"),
-        kind.alias("feed_type"),
-        agency.alias("agency_id"),
-        "agency_name",
-        system.alias("system_id"),
-        F.col("owner.name").alias("system_name"),
-        F.get(urls, F.lit(0)).alias("schedule_url"),
-        urls.alias("schedule_urls"),
-        F.coalesce("feed.interval_seconds", interval).alias("interval_seconds"),
-        F.coalesce("feed.timeout_seconds", F.lit(defaults["timeout_seconds"])).alias("timeout_seconds"),
-        F.coalesce("feed.retry", retry).alias("retry"),
-        F.coalesce("feed.auth", "owner.auth", "agency_auth").alias("auth"),
-        "agency_pos", "system_pos", "feed_pos",
+    agency, system, kind = F.col("agency_id"), F.col("system_id"), F.col("feed.feed_type")
+    flat = once(
+        rows,
+        feed_id=feed_id(agency, system, kind),
+        feed_name=feed_name(F.col("feed.name"), F.col("agency_name"), F.col("system_name"), kind),
+        url=http_url(F.col("feed.url")),
+        feed_type=kind,
+        schedule_url=F.get("urls", F.lit(0)),
+        schedule_urls=F.col("urls"),
+        interval_seconds=F.coalesce("feed.interval_seconds", interval),
+        timeout_seconds=F.coalesce("feed.timeout_seconds", F.lit(defaults["timeout_seconds"])),
+        retry=F.coalesce("feed.retry", retry),
+        auth=F.coalesce("feed.auth", "system_auth", "agency_auth"),
     )
+    return flat.drop("feed", "urls", "agency_auth", "system_auth")
 
 
 def feeds_dimension(feeds: DataFrame) -> DataFrame:

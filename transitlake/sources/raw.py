@@ -24,7 +24,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def object_name(path: Column, root: str) -> Column:
     """Path below the archive root, with the escaped colons of the hour folder restored."""
-    tail = F.substring_index(path, F.lit(root.rstrip("/").split("://")[-1] + "/"), -1)
+    tail = F.substring_index(path, root.rstrip("/").split("://")[-1] + "/", -1)
     return F.replace(tail, F.lit("%3A"), F.lit(":"))
 
 
@@ -68,12 +68,25 @@ def read_snapshots(
 def read_sidecars(
     spark: SparkSession, root: str, feed_type: str, dates: Iterable[str] | None = None
 ) -> DataFrame:
-    """Fetch time per sidecar; NULL where the document or its time stamp cannot be read."""
+    """Fetch time and content length per sidecar; NULL where the document cannot be read."""
     files = _scan(spark, root, feed_type, SIDECAR_GLOB, dates)
+    document = F.col("content").cast("string")
     return files.select(
         "feed_type", "date", "hour", "base64url",
         path_stem(F.col("source_file")).alias("stem"),
-        sidecar_fetch_time(F.col("content").cast("string")).alias("fetch_timestamp"),
+        sidecar_fetch_time(document).alias("fetch_timestamp"),
+        F.from_json(document, "content_length BIGINT")["content_length"].alias("content_length"),
+    )
+
+
+def empty_snapshots(sidecars: DataFrame) -> DataFrame:
+    """Listing rows of snapshots without a single byte.
+
+    File sources of Spark leave out empty files, so these are known from their sidecars only.
+    """
+    return sidecars.where(F.col("content_length") == 0).select(
+        "feed_type", "date", "hour", "base64url", F.concat(F.col("stem"), F.lit(".pb")).alias("source_file"),
+        "stem", F.lit(0).cast("bigint").alias("length"),
     )
 
 

@@ -22,6 +22,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Recording the call site of every column expression makes long plans slow to build.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # Snapshot names hold colons, which the checksum layer of the local file system rejects.
         .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
     )

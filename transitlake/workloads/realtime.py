@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from transitlake.functions import path_stem, raw_path, utc_stamp
+from transitlake.functions import base64url_encode, path_stem, raw_path, utc_stamp
 from transitlake.operators.decode import decode_snapshots, quarantine
 from transitlake.operators.flatten import FEED_TABLES
+from transitlake.operators.inventory import feed_lookup
+from transitlake.plans.catalog import with_feed
 from transitlake.plans.compaction import compact_snapshots, compaction_report
 from transitlake.session import work_folder
 from transitlake.sinks.raw import fetch_record, snapshot_rows
@@ -223,7 +225,7 @@ FROM f LEFT JOIN w USING (feed_url, date)"""
 
 
 def partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every feed's last day through the partition filter, by joining the partition columns only."""
+    """One day of every feed, read through the partition filter."""
     _, root = _compacted(spark, sf_dir, "partition-read")
     facts = read_table(spark, root, "vehicle_positions")
     day = facts.where("date = DATE'2024-01-15'")
@@ -239,6 +241,31 @@ SELECT {base64url_sql('feed_url')} AS base64url, strftime(ts, '%Y-%m-%d') AS dat
 FROM rows WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15' GROUP BY ALL"""
 
 
+def agency_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions per agency: the facts joined with the feed dimension. Nations name the feeds."""
+    flat = FEED_TABLES["vehicle_positions"].flatten(decode_snapshots(vehicle_snapshots(spark, sf_dir)))
+    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    named = nations.select(
+        base64url_encode(feed_url(F.col("n_nationkey"))).alias("base64url"), feed_url(F.col("n_nationkey")).alias("url"),
+        F.lower("n_name").alias("agency_id"), F.col("n_name").alias("agency_name"),
+        F.lower("r_name").alias("system_id"), F.col("r_name").alias("system_name"),
+        F.lit("vehicle_positions").alias("feed_type"), F.col("n_nationkey").alias("load_order"),
+    )
+    joined = with_feed(flat, feed_lookup(named))
+    return joined.groupBy("agency_id", "system_name").agg(
+        F.count("*").alias("positions"), F.count("vehicle_id").alias("with_vehicle")
+    )
+
+
+AGENCY_POSITIONS = f"""
+WITH {_VP_ROWS},
+named AS (SELECT {feed_url_sql('n_nationkey')} AS feed_url, lower(n_name) AS agency_id, r_name AS system_name,
+                 row_number() OVER (PARTITION BY {feed_url_sql('n_nationkey')} ORDER BY n_nationkey DESC) AS pos
+          FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT agency_id, system_name, count(*) AS positions, count(*) FILTER (WHERE has_vehicle) AS with_vehicle
+FROM rows JOIN named USING (feed_url) WHERE pos = 1 GROUP BY ALL"""
+
+
 # --- trip updates from orders ----------------------------------------------------------------
 
 
@@ -513,6 +540,7 @@ QUERIES = {
     "compacted_feeds": compacted_feeds,
     "compaction_runs": compaction_runs,
     "partition_read": partition_read,
+    "agency_positions": agency_positions,
     "sidecar_join": sidecar_join,
     "fetch_records": fetch_records,
 }
@@ -525,6 +553,7 @@ ORACLES = {
     "compacted_feeds": COMPACTED_FEEDS,
     "compaction_runs": COMPACTION_RUNS,
     "partition_read": PARTITION_READ,
+    "agency_positions": AGENCY_POSITIONS,
     "sidecar_join": SIDECAR_JOIN,
     "fetch_records": FETCH_RECORDS,
 }

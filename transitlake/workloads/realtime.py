@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from transitlake.functions import base64url_encode, path_stem, raw_path, utc_stamp
+from transitlake.functions import base64url_encode, path_stem, raw_path, utc_date, utc_stamp
 from transitlake.operators.decode import decode_snapshots, quarantine
 from transitlake.operators.flatten import FEED_TABLES
 from transitlake.operators.inventory import feed_lookup
@@ -298,7 +298,7 @@ def trip_fetches(orders: DataFrame) -> DataFrame:
         _unless(k % 3 == 0, F.col("o_orderpriority")).alias("route_id"),
         _unless(k % 5 == 0, k % 2).alias("direction_id"),
         F.lit(None).cast("string").alias("start_time"),
-        F.date_format("o_orderdate", "yyyyMMdd").alias("start_date"),
+        F.replace(utc_date(F.col("o_orderdate")).cast("string"), F.lit("-"), F.lit("")).alias("start_date"),
         _unless(k % 6 == 0, F.lit(3)).cast("int").alias("schedule_relationship"),
     )
     vehicle = F.struct(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -37,12 +38,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables.
 
-    It lies in the shared folder that the cluster names in ``spark.checkpoint.dir``; only where
-    that is unset, as in local tests, a temporary folder is made.
+    It lies in the shared folder that the cluster names in ``spark.checkpoint.dir``. A temporary
+    folder is made only where that is unset and driver and executors are one process, as in tests; a
+    cluster without the setting is an error, as its machines would not see each other's files.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return tempfile.mkdtemp(prefix=f"transitlake-{name}-")
 
 

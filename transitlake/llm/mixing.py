@@ -23,7 +23,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_COPIES = 2
 SEED = "mix-1"
-ROWS_PER_SALT = 100_000
+ROWS_PER_SALT = 25_000
 
 
 def words_in(text: Column) -> Column:
@@ -91,9 +91,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
         F.count(F.lit(1)).alias("n_"), F.sum("size_").alias("words_")
     )
     per_source = targets(cells.groupBy("skey").agg(F.sum("words_").alias("source_size")), weights, share, most)
-    ordered = W.partitionBy("skey").orderBy("class_", "salt_")
+    # Two short sums instead of a long one: over the classes of a source, over the salts of a class.
+    classes = cells.groupBy("skey", "class_").agg(F.sum("n_").alias("of_class_"))
+    below = F.sum("of_class_").over(W.partitionBy("skey").orderBy("class_")) - F.col("of_class_")
+    before = F.sum("n_").over(W.partitionBy("skey", "class_").orderBy("salt_")) - F.col("n_")
     starts = (
-        cells.withColumn("start_", F.sum("n_").over(ordered) - F.col("n_"))
+        cells.withColumn("before_", before)
+        .join(classes.withColumn("below_", below), ["skey", "class_"])
+        .withColumn("start_", F.col("below_") + F.col("before_"))
         .join(per_source, "skey")
         .select("skey", "class_", "salt_", "start_", "source_size", "target")
     )

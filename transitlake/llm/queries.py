@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from transitlake.llm import mixing, sharding
+from transitlake.llm import decontamination, mixing, sharding, simhash
 
 QUERIES = {
     "op3_histogram_shards": sharding.query,
+    "op7_simhash_blocks": simhash.query,
     "op9_systematic_mix": mixing.query,
+    "op10_suffix_automaton": decontamination.query,
 }
 
 ORACLES: dict[str, str] = {}

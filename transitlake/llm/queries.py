@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from transitlake.llm import decontamination, mixing, sharding, simhash
+from transitlake.llm import decontamination, mixing, sharding, simhash, toxicity
 
 QUERIES = {
+    "op2_weak_supervision": toxicity.query,
     "op3_histogram_shards": sharding.query,
     "op7_simhash_blocks": simhash.query,
     "op9_systematic_mix": mixing.query,

@@ -41,7 +41,7 @@ def extended(df: DataFrame, **columns: Column) -> DataFrame:
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is worked out once although ``body`` may use it inside lambdas."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)
 
 
 def by_batch(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from transitlake.llm import decontamination, mixing, sharding, simhash, toxicity
+from transitlake.llm import decontamination, mixing, pii, sharding, simhash, toxicity
 
 QUERIES = {
     "op2_weak_supervision": toxicity.query,
     "op3_histogram_shards": sharding.query,
+    "op6_boosted_pii": pii.query,
     "op7_simhash_blocks": simhash.query,
     "op9_systematic_mix": mixing.query,
     "op10_suffix_automaton": decontamination.query,

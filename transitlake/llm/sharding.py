@@ -25,7 +25,7 @@ TOLERANCE = 0.001
 DIGITS = 2
 KEY_DIGITS = 32
 # Rows that one task numbers, about.
-ROWS_PER_RUN = 50_000
+ROWS_PER_RUN = 10_000
 LEAST_RUNS = 8
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from transitlake.llm import decontamination, mixing, pii, sharding, simhash, toxicity
+from transitlake.llm import ann, decontamination, licenses, mixing, pii, sharding, simhash, toxicity
 
 QUERIES = {
+    "op1_license_join": licenses.query,
     "op2_weak_supervision": toxicity.query,
     "op3_histogram_shards": sharding.query,
+    "op5_learned_partitions": ann.query,
     "op6_boosted_pii": pii.query,
     "op7_simhash_blocks": simhash.query,
     "op9_systematic_mix": mixing.query,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from transitlake.llm import ann, decontamination, licenses, mixing, pii, sharding, simhash, toxicity
+from transitlake.llm import ann, decontamination, html_text, licenses, mixing, pii, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_license_join": licenses.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_learned_partitions": ann.query,
     "op6_boosted_pii": pii.query,
     "op7_simhash_blocks": simhash.query,
+    "op8_boosted_dom": html_text.query,
     "op9_systematic_mix": mixing.query,
     "op10_suffix_automaton": decontamination.query,
 }

@@ -7,7 +7,8 @@ to its most probable partitions and is compared there with all vectors, in doubl
 
 Equal vectors are one entry, with their smallest ids (as many as a result needs) and no more; equal queries are one
 query. A partition is dealt to blocks of about ``BLOCK_ROWS`` vectors and ``BLOCK_QUERIES`` queries, so no task grows with the data.
-Every block returns its best, and the best of all blocks are the result.
+Every block returns its best, and the best of all blocks are the result. What a query would find in the fitted sample alone
+is a floor: entries below it cannot be in the result, so blocks leave them out.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do vectors of another
 length than the most frequent one (of several the longest); a null ``vec_id`` takes no part; with fewer candidates than asked for, all are returned
@@ -148,8 +149,9 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _routed(router: Router, probes: int):
-    """The ``probes`` most probable partitions of each vector."""
+def _routed(router: Router, probes: int, known: np.ndarray | None = None, need: int = 0):
+    """The ``probes`` most probable partitions of each vector; with ``known`` also the floor of a query: the score of
+    its ``need``-th best of these vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,7 +161,16 @@ def _routed(router: Router, probes: int):
             scores = router.scores(x / np.linalg.norm(x, axis=1, keepdims=True))
             order = np.argsort(-scores, axis=1, kind="stable")[:, :probes]
             parts = pa.array(order.tolist(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, parts], names=[*batch.schema.names, "parts"])
+            added = {"parts": parts}
+            if known is not None:
+                floor = np.full(len(x), -np.inf)
+                for start in range(0, len(x) if len(known) >= need else 0, 256):
+                    near = x[start : start + 256] @ known.T
+                    floor[start : start + 256] = np.partition(near, near.shape[1] - need, axis=1)[:, -need]
+                added["floor"] = pa.array(floor, pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *added.values()], names=[*batch.schema.names, *added]
+            )
 
     return run
 
@@ -170,16 +181,14 @@ def _compare(left: pa.Table, right: pa.Table, need: int) -> pa.Table:
     if left.num_rows and right.num_rows:
         queries, vectors = (_matrix(t.column("vector").combine_chunks()) for t in (left, right))
         names, entries = left.column("entry").to_numpy(), right.column("entry").to_numpy()
-        least = right.column("least").to_numpy()
+        least, floor = right.column("least").to_numpy(), left.column("floor").to_numpy()
         k = min(need, len(vectors))
         for start in range(0, len(queries), 256):
             near = queries[start : start + 256] @ vectors.T
-            if k < near.shape[1]:
-                # All entries as near as the k-th stay, so that ties are settled by id below.
-                limit = np.partition(near, near.shape[1] - k, axis=1)[:, -k]
-                rows, columns = np.nonzero(near >= limit[:, None] - 1e-9)
-            else:
-                rows, columns = (a.ravel() for a in np.indices(near.shape))
+            # All entries as near as the k-th stay, so that ties are settled by id below.
+            limit = np.partition(near, near.shape[1] - k, axis=1)[:, -k]
+            limit = np.maximum(limit, floor[start : start + 256])
+            rows, columns = np.nonzero(near >= limit[:, None] - 1e-9)
             order = np.lexsort((least[columns], -near[rows, columns], rows))
             rows, columns = rows[order], columns[order]
             place = np.arange(len(rows)) - np.searchsorted(rows, rows)
@@ -243,7 +252,7 @@ def search(
     kind = entries.schema.simpleString()[len("struct<") : -1]
     placed = hold(entries.mapInArrow(_routed(router, 1), f"{kind},parts array<int>"), "ann-placed")
     asked = rows.where(F.pmod(F.col("vec_id"), F.lit(step)) == 0).select("vec_id", "entry")
-    queries = hold(entries.join(asked.select("entry").distinct(), "entry", "left_semi").mapInArrow(_routed(router, probes), f"{kind},parts array<int>"), "ann-queries")
+    queries = hold(entries.join(asked.select("entry").distinct(), "entry", "left_semi").mapInArrow(_routed(router, probes, known, need), f"{kind},parts array<int>,floor double"), "ann-queries")
 
     # Blocks of each partition: one count for each of a bounded number of partitions.
     part = F.explode("parts").alias("part")
@@ -256,7 +265,7 @@ def search(
     right = placed.select("entry", "vector", "least", part)
     right = right.withColumn("block", F.pmod(F.xxhash64("entry"), per_part(blocks)).cast("int"))
     right = right.withColumn("round", F.explode(F.sequence(F.lit(0), per_part(rounds) - 1)))
-    left = queries.select("entry", "vector", part)
+    left = queries.select("entry", "vector", "floor", part)
     left = left.withColumn("round", F.pmod(F.xxhash64("entry"), per_part(rounds)).cast("int"))
     left = left.withColumn("block", F.explode(F.sequence(F.lit(0), per_part(blocks) - 1)))
     keys = ["part", "block", "round"]

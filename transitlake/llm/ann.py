@@ -151,7 +151,8 @@ def _matrix(column) -> np.ndarray:
 
 def _routed(router: Router, probes: int, known: np.ndarray | None = None, need: int = 0):
     """The ``probes`` most probable partitions of each vector; with ``known`` also the floor of a query: the score of
-    its ``need``-th best of these vectors."""
+    its ``need``-th best of these vectors in those partitions."""
+    home = None if known is None else np.argmax(router.scores(known / np.linalg.norm(known, axis=1, keepdims=True)), axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,6 +167,9 @@ def _routed(router: Router, probes: int, known: np.ndarray | None = None, need:
                 floor = np.full(len(x), -np.inf)
                 for start in range(0, len(x) if len(known) >= need else 0, 256):
                     near = x[start : start + 256] @ known.T
+                    probed = np.zeros((len(near), scores.shape[1]), bool)
+                    np.put_along_axis(probed, order[start : start + 256], True, axis=1)
+                    near[~probed[:, home]] = -np.inf
                     floor[start : start + 256] = np.partition(near, near.shape[1] - need, axis=1)[:, -need]
                 added["floor"] = pa.array(floor, pa.float64())
             yield pa.RecordBatch.from_arrays(
@@ -252,7 +256,7 @@ def search(
     kind = entries.schema.simpleString()[len("struct<") : -1]
     placed = hold(entries.mapInArrow(_routed(router, 1), f"{kind},parts array<int>"), "ann-placed")
     asked = rows.where(F.pmod(F.col("vec_id"), F.lit(step)) == 0).select("vec_id", "entry")
-    queries = hold(entries.join(asked.select("entry").distinct(), "entry", "left_semi").mapInArrow(_routed(router, probes, known, need), f"{kind},parts array<int>,floor double"), "ann-queries")
+    queries = hold(entries.join(asked.select("entry").distinct(), "entry", "left_semi").mapInArrow(_routed(router, probes, known, need + 2), f"{kind},parts array<int>,floor double"), "ann-queries")
 
     # Blocks of each partition: one count for each of a bounded number of partitions.
     part = F.explode("parts").alias("part")

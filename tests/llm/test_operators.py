@@ -1,0 +1,264 @@
+"""The ten operators against brute force, and on odd tables."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+
+from transitlake.llm import ann, decontamination, html_text, licenses, mixing, pii, sharding, simhash, toxicity
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, score string, n string"
+WORDS = "red blue green stone river mountain cloud field house garden table window".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) + str(rng.randint(0, 400)) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty, repeated and long texts, ties, clashing names."""
+    rng = random.Random(1)
+    texts = [None, "", "   ", "a", "same text here", "same text here", prose(rng, 30_000), "1" * 30_000, "a." * 20_000]
+    texts += [prose(rng, 60) for _ in range(40)]
+    rows = [(i, t, "en", f"src{i % 3}", len(t or ""), "x", "y", "z") for i, t in enumerate(texts)]
+    rows += [rows[10], rows[10], (None, "no id", None, None, None, None, None, None), (None, None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def labels(spark, odd):
+    return spark.createDataFrame([(i, 0, i % 2) for i in range(40)] + [(None, None, None), (3, 1, None)], "doc_id long, quality int, toxic int")
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark, odd):
+    text = odd.where("doc_id = 20").first().text
+    rows = [(1, " ".join(text.split()[5:30])), (2, "tiny item"), (3, None), (4, ""), (None, "other one of three"), (5, " ".join(text.split()[8:20]))]
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+def test_shards_are_equal_whole_and_gapless(spark, odd, none):
+    out = sharding.shard_documents(odd, shards=4).collect()
+    assert len(out) == odd.count()
+    for s in {r.shard for r in out}:
+        slots = sorted(r.slot for r in out if r.shard == s)
+        assert slots == list(range(len(slots)))
+    for r in out:
+        data = (r.text or "").encode()
+        assert (r["size"], r.text_crc32) == (len(data) + 8, zlib.crc32(data))
+    assert sharding.shard_documents(none).count() == 0
+
+
+def test_splitters_meet_the_tolerance(spark):
+    rng = random.Random(3)
+    rows = [(f"{rng.getrandbits(128):032x}", 1) for _ in range(4000)] + [("5" * 16 + f"{rng.getrandbits(64):016x}", 1) for _ in range(2000)]
+    keys = sharding.splitters(spark.createDataFrame(rows, "key string, size long"), 8, 0.01)
+    counts = np.bincount([sum(k > s for s in keys) for k, _ in rows], minlength=8)
+    assert keys == sorted(keys) and abs(counts - 750).max() <= 16
+
+
+def test_mix_meets_targets(spark, odd, none):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.randint(0, 90)), rng.choice(["a", "b", "b", "b", "b", None])) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(docs).collect()
+    size = {s: sum(len((t or "").split()) for _, t, q in rows if q == s) for s in ("a", "b", None)}
+    target = {k: 0.0 for k in size}
+    weight = dict(zip(("a", "b", None), mixing.WEIGHTS))
+    left, free = 1.5 * sum(size.values()), set(size)
+    while left > 1e-6:
+        share = left / sum(weight[s] for s in free)
+        left = 0.0
+        for s in list(free):
+            target[s] += share * weight[s]
+            if target[s] >= 2 * size[s]:
+                left += target[s] - 2 * size[s]
+                target[s] = 2 * size[s]
+                free.discard(s)
+    for s in size:
+        own = [r for r in out if r.source == s]
+        assert own[0].source_size == size[s] and own[0].target == pytest.approx(target[s])
+        assert sum(r.copies * r["size"] for r in own) == pytest.approx(target[s], abs=100)
+    assert max(r.copies for r in out) <= 2
+    assert sorted(map(tuple, out), key=repr) == sorted(map(tuple, mixing.mix(docs.repartition(7)).collect()), key=repr)
+    mixed = mixing.mix(odd)
+    assert mixed.count() == odd.count()
+    assert mixing.emitted(mixed, odd.columns).columns == odd.columns
+    assert mixing.mix(none).count() == 0
+
+
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_classes(prints):
+    """Component of each (id, fingerprint): the smallest id reachable."""
+    label = list(range(len(prints)))
+    changed = True
+    while changed:
+        changed = False
+        for i, (_, a) in enumerate(prints):
+            for j, (_, b) in enumerate(prints):
+                if (a ^ b).bit_count() <= 2 and label[j] < label[i]:
+                    label[i], changed = label[j], True
+    least = {}
+    for (i, _), c in zip(prints, label):
+        if i is not None:
+            least[c] = min(i, least.get(c, i))
+    return [least.get(c) for c in label]
+
+
+def test_simhash(spark, odd, none):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    prints = [(i, plain_fingerprint(t)) for i, t in rows]
+    got = simhash.near_duplicates(odd).collect()
+    key = lambda x: repr(x)
+    assert sorted(((r.doc_id, r.fp % 2**64, r.component_id) for r in got), key=key) == sorted(
+        ((i, f, c) for (i, f), c in zip(prints, brute_classes(prints))), key=key
+    )
+    kept = simhash.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert kept.count() == len({r.keeper for r in got})
+    assert simhash.near_duplicates(none).count() == 0
+
+
+def test_simhash_large_buckets(spark):
+    """A crowd of near fingerprints: midpoints give the classes of all pairs."""
+    rng = random.Random(9)
+    base = rng.getrandbits(64)
+    prints = [(i, base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3)))) for i in range(160)]
+    prints += [(1000 + i, rng.getrandbits(64)) for i in range(40)]
+    frame = spark.createDataFrame([(i, 0, simhash._signed(f)) for i, f in prints], "doc_id long, text_hash long, fp long")
+    got = {r.doc_id: r.component_id for r in simhash.classes(frame).collect()}
+    assert got == dict(zip((i for i, _ in prints), brute_classes(prints)))
+
+
+def test_decontamination(spark, odd, none, benchmark):
+    word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    split = lambda t: word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    items = [(r.item_id, split(r.text)) for r in benchmark.collect()]
+    got = decontamination.contamination(odd, benchmark).collect()
+    expected = []
+    for r in odd.collect():
+        words, hit, found = split(r.text), set(), []
+        for item, own in items:
+            size = min(10, len(own))
+            windows = {tuple(own[k : k + size]) for k in range(len(own) - size + 1)} if size else set()
+            at = [k for k in range(len(words) - size + 1) if size and tuple(words[k : k + size]) in windows]
+            hit.update(p for k in at for p in range(k, k + size))
+            if at:
+                found.append(item)
+        ids = ",".join(sorted(str(i) for i in found if i is not None))
+        expected.append((r.doc_id, len(words), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)))
+    assert sorted(((g.doc_id, g.n_words, g.n_hit, g.n_items, g.items_sha256, g.contaminated) for g in got), key=repr) == sorted(expected, key=repr)
+    assert any(e[2] for e in expected)
+    clean = decontamination.decontaminate(odd, benchmark)
+    assert clean.columns == odd.columns and clean.count() == odd.count()
+    assert not any(r.n_hit for r in decontamination.contamination(clean, benchmark).collect())
+    untouched = {(r.doc_id, r.text) for r in odd.collect()} & {(r.doc_id, r.text) for r in clean.collect()}
+    assert len(untouched) == len({(e.doc_id, e.text) for e in odd.collect()}) - 1
+    assert decontamination.contamination(none, benchmark).count() == 0
+    assert not any(r.n_hit for r in decontamination.contamination(odd, benchmark.limit(0)).collect())
+
+
+def test_toxicity(spark, odd, none, labels):
+    rng = random.Random(2)
+    rows = [(i, prose(rng, 40) + (" lowei" + str(i % 7) + " lowei" + str(i % 5) if i % 6 == 0 else "")) for i in range(700)]
+    truth = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(0, 700)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = toxicity.score(docs, toxicity.fit(docs, truth)).collect()
+    held = [r for r in out if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert np.mean([r.predicted == int(r.doc_id % 6 == 0) for r in held]) > 0.97
+    scored = toxicity.score(odd, toxicity.fit(odd, labels))
+    assert scored.count() == odd.count() and scored.where("score is null").count() == 0
+    assert toxicity.keep_clean(odd, labels.limit(0)).columns == odd.columns
+    assert toxicity.keep_clean(none, labels).count() == 0
+
+
+def test_licenses(spark, odd, none):
+    template = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated\ndocumentation files, to deal in the Software"
+    rows = [(1, "Under  the MIT\nlicense. Under the mit license"), (2, template + " without restriction"), (3, "cc-by-nc and Apache License, version 2"), (4, "mit der license under"), (5, None)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].n_words, got[1].n_base, got[1].first_word, got[1].last_word, got[1].base_labels) == (8, 2, 0, 4, "mit")
+    assert (got[2].base_labels, got[2].labels) == ("", "mit") and got[2].score >= 0.9
+    assert (got[3].base_labels, got[3].n_base) == ("apache-2,cc-by-nc", 2)
+    assert (got[4].labels, got[4].score) == ("", 0.0)
+    assert (got[5].n_words, got[5].first_word, got[5].labels) == (0, None, "")
+    assert licenses.scan(odd).count() == odd.count()
+    assert licenses.scan(none).count() == 0
+
+
+def test_containment_join_is_exact(spark):
+    rng = random.Random(4)
+    blocks = [(i, True, sorted(rng.sample(range(40), rng.randint(1, 25)))) for i in range(300)]
+    templates = [("t", sorted(rng.sample(range(40), rng.randint(10, 14))), 0) for _ in range(12)]
+    templates = [(n, r, -(-7 * len(r) // 10)) for n, r, _ in templates]
+    frame = spark.createDataFrame(blocks, "block long, line boolean, words array<int>")
+    got = {(r.block, r.template) for r in licenses.contained(frame, spark, templates).collect()}
+    assert got == {(b, t) for b, _, w in blocks for t, (_, r, need) in enumerate(templates) if len(set(w) & set(r)) >= need}
+    assert got
+
+
+def test_pii(spark, odd, none):
+    text = "é mail a.b@c.de x@y, 10.0.0.256 10.0.0.25; 4111 1111 1111 1111, 4111-1111-1111-1112 +49 (30) 1234-5678 +1 2 3@b.cd"
+    docs = spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    found = pii.find(docs, pii.fit(docs)).collect()
+    spans = {r.doc_id: [(pii.KINDS[s.kind], text[s.start : s.end]) for s in sorted(r.found.base)] for r in found}
+    assert spans[1] == [
+        ("email", "a.b@c.de"), ("ip", "10.0.0.25"), ("card", "4111 1111 1111 1111"), ("phone", "+49 (30) 1234-5678"), ("email", "3@b.cd"),
+    ]
+    assert spans[2] == []
+    assert pii.find(odd, pii.fit(odd)).count() == odd.count()
+    assert pii.find(none, pii.fit(none)).count() == 0
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 16)).astype(np.float32)
+    x[100:160] = x[100]
+    rows = [(i, [float(c) for c in v], 0) for i, v in enumerate(x)]
+    rows += [(2000, None, 0), (2020, [0.0] * 16, 0), (2040, [float("nan")] * 16, 0), (2060, [None] * 16, 0), (2080, [1.0], 0), (None, [1.0] * 16, 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, entry int")
+    got = {}
+    for r in ann.search(frame).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r)
+    assert sorted(got) == list(range(0, 900, 20))
+    wide, hits = x.astype(np.float64), 0
+    for q, own in got.items():
+        scores = wide @ wide[q]
+        scores[q] = -np.inf
+        order = np.lexsort((np.arange(900), -np.round(scores, 9)))[:20]
+        assert [r["rank"] for r in own] == list(range(1, 21))
+        assert all(r.score == pytest.approx(scores[r.vec_id], abs=1e-9) for r in own)
+        hits += len(set(order.tolist()) & {r.vec_id for r in own})
+    assert hits / (20 * len(got)) >= 0.9
+    few = ann.search(frame.where("vec_id in (0, 20, 21)")).collect()
+    assert len(few) == 4
+    assert ann.search(frame.limit(0)).count() == 0
+
+
+def test_pages(spark):
+    story = "".join(f"<p>Sentence {i} of the <b>st</b>ory, it goes on &amp; on. And then it ends.</p>" for i in range(8))
+    page = "<html><body><nav><a href='/'>Home</a></nav><div class='ad'>Buy it now</div><article><h1>Title</h1>{}</article><footer>&copy; me</footer></body></html>"
+    rows = [(i, "u", page.format(story[: 79 * (i % 8 + 1)]), "extra") for i in range(60)] + [(90, None, None, None), (91, "u", "", None), (92, "u", "<<p <div>", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    out = {r.page_id: r for r in html_text.extract(pages, html_text.fit(pages)).collect()}
+    assert out[7].text.startswith("Title Sentence 0 of the story, it goes on & on. And then it ends. Sentence 1")
+    assert all("Home" not in r.text and "Buy" not in r.text and "me" not in r.text for r in out.values())
+    assert (out[90].text, out[90].n_chars, out[91].text) == ("", 0, "")
+    assert html_text.extract(pages.limit(0), html_text.fit(pages.limit(0))).count() == 0

@@ -107,19 +107,17 @@ def test_shards_match_md5(spark):
 
 
 def test_names(spark):
-    df = spark.createDataFrame(
-        [("bart", None, "vehicle_positions", "BART", None, None), ("septa", "bus", "trip_updates", "SEPTA", "Bus", None),
-         ("septa", "", "service_alerts", "SEPTA", "", "Own name")],
-        "a STRING, s STRING, t STRING, an STRING, sn STRING, n STRING",
-    )
+    cases = [
+        (("harbour", None, "trip_updates", "Harbour Line", None, None), ("harbour-trip-updates", "Harbour Line Trip Updates")),
+        (("valley", "lift", "service_alerts", "Valley", "Cliff Lift", None), ("valley-lift-service-alerts", "Valley Cliff Lift Service Alerts")),
+        (("valley", "", "vehicle_positions", "Valley", "", "Where trams are"), ("valley-vehicle-positions", "Where trams are")),
+    ]
+    df = spark.createDataFrame([c[0] for c in cases], "a STRING, s STRING, t STRING, an STRING, sn STRING, n STRING")
     rows = df.select(
         fn.feed_id(F.col("a"), F.col("s"), F.col("t")).alias("id"),
         fn.feed_name(F.col("n"), F.col("an"), F.col("sn"), F.col("t")).alias("name"),
     ).collect()
-    assert [tuple(r) for r in rows] == [
-        ("bart-vehicle-positions", "BART Vehicle Positions"), ("septa-bus-trip-updates", "SEPTA Bus Trip Updates"),
-        ("septa-service-alerts", "Own name"),
-    ]
+    assert [tuple(r) for r in rows] == [c[1] for c in cases]
 
 
 def test_display(spark):

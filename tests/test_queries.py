@@ -27,7 +27,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(oracle_sql()))
 def test_query(spark, db, name):
     frame = queries()[name](spark, SF_DIR)
     rows = [tuple(row) for row in frame.collect()]

@@ -18,28 +18,37 @@ from transitlake.sinks.compacted import write_feeds
 from transitlake.sources.registry import agencies_frame, defaults_of, known_feeds, read_registry
 from transitlake.sources.tables import read_feeds
 
+HARBOUR = "https://harbour.example.com"
+# Two invented operators: a harbour line without systems and a valley with a tram and a lift.
 DOCUMENT = {
-    "defaults": {"timeout_seconds": 45, "retry": {"max_attempts": 5, "backoff_base": 2, "backoff_max": 20},
-                 "intervals": {"vehicle_positions": 30, "trip_updates": 30, "service_alerts": 90}},
+    "defaults": {
+        "timeout_seconds": 33,
+        "retry": {"max_attempts": 4, "backoff_base": 1.5, "backoff_max": 12},
+        "intervals": {"vehicle_positions": 25, "trip_updates": 40, "service_alerts": 75},
+    },
     "agencies": [
         {
-            "id": "septa", "name": "SEPTA", "schedule_url": "https://septa.example.com/all.zip",
-            "auth": {"type": "query", "secret_name": "agency", "key": "k"},
-            "systems": [
-                {"id": "bus", "name": "Bus", "schedule_url": "https://septa.example.com/bus.zip",
-                 "schedule_urls": ["https://septa.example.com/extra.zip"],
-                 "auth": {"type": "header", "secret_name": "system", "key": "k"},
-                 "feeds": [{"feed_type": "vehicle_positions", "url": "https://septa.example.com/vp"},
-                           {"feed_type": "trip_updates", "url": "https://septa.example.com/tu", "timeout_seconds": 10,
-                            "auth": {"type": "query", "secret_name": "feed", "key": "k"}}]},
-                {"id": "rail", "name": "Regional Rail",
-                 "feeds": [{"feed_type": "service_alerts", "url": "https://septa.example.com/sa", "name": "Rail news"}]},
+            "id": "harbour", "name": "Harbour Line",
+            "feeds": [
+                {"feed_type": "trip_updates", "url": "http://Live.Harbour.example:80", "interval_seconds": 15,
+                 "retry": {"max_attempts": 2}},
             ],
         },
         {
-            "id": "bart", "name": "BART",
-            "feeds": [{"feed_type": "vehicle_positions", "url": "http://API.Bart.gov:80", "interval_seconds": 10,
-                       "retry": {"max_attempts": 1}}],
+            "id": "valley", "name": "Valley", "schedule_url": f"{HARBOUR}/valley.zip",
+            "auth": {"type": "header", "secret_name": "of-agency", "key": "token"},
+            "systems": [
+                {"id": "lift", "name": "Cliff Lift",
+                 "feeds": [{"feed_type": "service_alerts", "url": f"{HARBOUR}/lift/alerts", "name": "Lift notices"}]},
+                {"id": "tram", "name": "Tram", "schedule_url": f"{HARBOUR}/tram.zip",
+                 "schedule_urls": [f"{HARBOUR}/night.zip"],
+                 "auth": {"type": "query", "secret_name": "of-system", "key": "token"},
+                 "feeds": [
+                     {"feed_type": "vehicle_positions", "url": f"{HARBOUR}/tram/where", "timeout_seconds": 9,
+                      "auth": {"type": "query", "secret_name": "of-feed", "key": "token"}},
+                     {"feed_type": "service_alerts", "url": f"{HARBOUR}/tram/alerts"},
+                 ]},
+            ],
         },
     ],
 }
@@ -53,23 +62,24 @@ def feeds(spark):
 
 def test_ids_names_and_order(feeds):
     assert list(feeds) == [
-        "septa-bus-vehicle-positions", "septa-bus-trip-updates", "septa-rail-service-alerts", "bart-vehicle-positions"
+        "harbour-trip-updates", "valley-lift-service-alerts", "valley-tram-vehicle-positions", "valley-tram-service-alerts"
+    ]
+    assert [f.feed_name for f in feeds.values()] == [
+        "Harbour Line Trip Updates", "Lift notices", "Valley Tram Vehicle Positions", "Valley Tram Service Alerts"
     ]
-    assert feeds["bart-vehicle-positions"].feed_name == "BART Vehicle Positions"
-    assert feeds["septa-bus-trip-updates"].feed_name == "SEPTA Bus Trip Updates"
-    assert feeds["septa-rail-service-alerts"].feed_name == "Rail news"
 
 
 def test_inheritance(feeds):
-    vp, tu, sa, bart = feeds.values()
-    assert [f.interval_seconds for f in feeds.values()] == [30, 30, 90, 10]
-    assert [f.timeout_seconds for f in feeds.values()] == [45, 10, 45, 45]
-    assert [f.auth and f.auth.secret_name for f in feeds.values()] == ["system", "feed", "agency", None]
-    assert tuple(vp.retry) == (5, 2.0, 20.0) and tuple(bart.retry) == (1, 1.0, 10.0)
-    assert vp.schedule_urls == ["https://septa.example.com/bus.zip", "https://septa.example.com/extra.zip"]
-    assert sa.schedule_urls == ["https://septa.example.com/all.zip"] and bart.schedule_urls == []
-    assert (vp.schedule_url, bart.schedule_url) == ("https://septa.example.com/bus.zip", None)
-    assert bart.url == "http://api.bart.gov/" and bart.system_id is None
+    ferry, lift, where, alerts = feeds.values()
+    assert [f.interval_seconds for f in feeds.values()] == [15, 75, 25, 75]
+    assert [f.timeout_seconds for f in feeds.values()] == [33, 33, 9, 33]
+    assert [f.auth and f.auth.secret_name for f in feeds.values()] == [None, "of-agency", "of-feed", "of-system"]
+    # A retry of its own replaces the default as a whole.
+    assert tuple(where.retry) == (4, 1.5, 12.0) and ferry.retry.max_attempts == 2 and ferry.retry.backoff_base == 1.0
+    assert where.schedule_urls == alerts.schedule_urls == [f"{HARBOUR}/tram.zip", f"{HARBOUR}/night.zip"]
+    assert lift.schedule_urls == [f"{HARBOUR}/valley.zip"] and ferry.schedule_urls == []
+    assert (where.schedule_url, ferry.schedule_url) == (f"{HARBOUR}/tram.zip", None)
+    assert ferry.url == "http://live.harbour.example/" and ferry.system_id is None
 
 
 def test_normal_urls(spark):
@@ -88,19 +98,19 @@ def test_dimension_and_lookup(spark, feeds, tmp_path):
     assert len(dimension.columns) == 12
     write_feeds(dimension, str(tmp_path))
     rows = {r.feed_id: r for r in spark.read.parquet(f"{tmp_path}/feeds.parquet").collect()}
-    urls = feeds["septa-bus-trip-updates"].schedule_urls
-    assert rows["septa-bus-trip-updates"].schedule_urls == json.dumps(urls)
-    assert rows["bart-vehicle-positions"].schedule_urls is None
+    urls = feeds["valley-tram-service-alerts"].schedule_urls
+    assert rows["valley-tram-service-alerts"].schedule_urls == json.dumps(urls)
+    assert rows["harbour-trip-updates"].schedule_urls is None
     order = [r.url for r in read_feeds(spark, str(tmp_path)).orderBy("load_order").collect()]
     assert order == [f.url for f in feeds.values()]
-    assert known_feeds(dimension).where("feed_key = '~api.bart.gov/'").count() == 1
+    assert known_feeds(dimension).where("feed_key = '~live.harbour.example/'").count() == 1
 
 
 def test_unique_schedule_urls(spark):
     flat = flatten_registry(agencies_frame(spark, DOCUMENT), defaults_of(DOCUMENT))
     found = schedule_urls(flat).collect()
-    assert [r.schedule_url.rsplit("/", 1)[1] for r in found] == ["all.zip", "bus.zip", "extra.zip"]
-    assert [r.auth.secret_name for r in found] == ["agency", "system", "system"]
+    assert [r.schedule_url.rsplit("/", 1)[1] for r in found] == ["night.zip", "tram.zip", "valley.zip"]
+    assert [r.auth.secret_name for r in found] == ["of-feed", "of-feed", "of-agency"]
     assert tuple(active_feeds(flat).first()) == (4, 4)
 
 
@@ -145,5 +155,5 @@ def test_yaml(spark, tmp_path):
     path = tmp_path / "agencies.yaml"
     path.write_text(yaml.safe_dump(DOCUMENT))
     agencies, defaults = read_registry(spark, str(path))
-    assert agencies.count() == 2 and defaults["intervals"]["service_alerts"] == 90
+    assert agencies.count() == 2 and defaults["intervals"]["service_alerts"] == 75
     assert flatten_registry(agencies, defaults).count() == 4

@@ -66,10 +66,12 @@ def inventory_totals(files: DataFrame, feeds: DataFrame) -> DataFrame:
 def archive_stats(feeds: DataFrame) -> DataFrame:
     """Headline numbers of an inventory. A missing agency counts as one agency."""
     stats = feeds.agg(
-        (F.countDistinct("agency_id") + F.max(F.col("agency_id").isNull().cast("bigint"))).alias("agencies"),
+        (
+            F.countDistinct("agency_id") + F.coalesce(F.max(F.col("agency_id").isNull().cast("bigint")), F.lit(0))
+        ).alias("agencies"),
         F.count("*").alias("feeds"),
-        F.sum("total_records").alias("total_records"),
-        F.sum("total_bytes").alias("total_bytes"),
+        F.coalesce(F.sum("total_records"), F.lit(0)).alias("total_records"),
+        F.coalesce(F.sum("total_bytes"), F.lit(0)).alias("total_bytes"),
         F.min("date_min").alias("date_min"),
         F.max("date_max").alias("date_max"),
     )

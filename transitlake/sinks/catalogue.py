@@ -35,7 +35,7 @@ def read_inventory(spark: SparkSession, path: str, schema: str = INVENTORY, pret
     if pretty:
         return spark.read.schema(schema).json(path, multiLine=True)
     text = F.trim("value")
-    text = F.when(text.startswith("["), F.substring(text, 2, 1 << 30)).otherwise(text)
+    text = F.when(text.startswith("["), F.substring(text, F.lit(2), F.length(text))).otherwise(text)
     text = F.regexp_replace(text, r"[\],]$", "")
     records = spark.read.text(path).select(F.from_json(text, schema).alias("r"), text.alias("text"))
     return records.where(F.col("text") != "").select("r.*")

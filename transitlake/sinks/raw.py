@@ -30,14 +30,10 @@ def fetch_record(fetches: DataFrame) -> Column:
         F.col("duration_ms"),
         F.col("status_code").alias("response_code"),
         F.col("content_length"),
-        F.element_at(
-            F.map_from_entries(
-                F.transform(
-                    F.map_entries("headers"), lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v"))
-                )
-            ),
-            "content-type",
-        ).alias("content_type"),
+        # The first of several spellings of the name.
+        F.get(F.filter(F.map_entries("headers"), lambda e: F.lower(e["key"]) == "content-type"), F.lit(0))["value"].alias(
+            "content_type"
+        ),
         kept_headers(F.col("headers")).alias("headers"),
     )
     return F.to_json(record, {"ignoreNullFields": "false"})

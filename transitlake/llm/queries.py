@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from transitlake.llm import ann, decontamination, html_text, licenses, mixing, pii, sharding, simhash, toxicity
+from transitlake.llm import ann, decontamination, html_text, licenses, line_dedup, mixing, pii, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_license_join": licenses.query,
     "op2_weak_supervision": toxicity.query,
     "op3_histogram_shards": sharding.query,
+    "op4_winnowed_lines": line_dedup.query,
     "op5_learned_partitions": ann.query,
     "op6_boosted_pii": pii.query,
     "op7_simhash_blocks": simhash.query,

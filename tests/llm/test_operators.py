@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from transitlake.llm import ann, decontamination, html_text, licenses, mixing, pii, sharding, simhash, toxicity
+from transitlake.llm import ann, decontamination, html_text, licenses, line_dedup, mixing, pii, sharding, simhash, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, score string, n string"
 WORDS = "red blue green stone river mountain cloud field house garden table window".split()
@@ -262,3 +262,59 @@ def test_pages(spark):
     assert all("Home" not in r.text and "Buy" not in r.text and "me" not in r.text for r in out.values())
     assert (out[90].text, out[90].n_chars, out[91].text) == ("", 0, "")
     assert html_text.extract(pages.limit(0), html_text.fit(pages.limit(0))).count() == 0
+
+
+def brute_lines(rows):
+    """Line sets to delete: windows seen before, extended beside their first place."""
+    units = [(i, [w.strip() for w in (t or "").split("\n") if w.split()]) for i, t in rows]
+    seen, gone = {}, {i: set() for i, _ in units}
+    for i, lines in units:
+        for start in range(len(lines)):
+            end, total = start, 0
+            while end < len(lines) and total < 50:
+                total += len(lines[end].split())
+                end += 1
+            if total < 50:
+                break
+            if (key := tuple(lines[start:end])) not in seen:
+                seen[key] = (lines, start, end)
+                continue
+            other, first, last = seen[key]
+            for step, a, b in ((1, end, last), (-1, start - 1, first - 1)):
+                words = 0
+                while 0 <= a < len(lines) and 0 <= b < len(other) and lines[a] == other[b]:
+                    words += len(lines[a].split())
+                    if words >= 50:
+                        break
+                    gone[i].add(a)
+                    a, b = a + step, b + step
+            gone[i].update(range(start, end))
+    return gone
+
+
+def test_line_dedup(spark, odd, none):
+    rng = random.Random(8)
+    pool = [prose(rng, rng.choice([3, 9, 20, 55])) for _ in range(30)]
+    rows = []
+    for i in range(60):
+        lines = [prose(rng, rng.randint(1, 15)) for _ in range(rng.randint(0, 6))]
+        at, size = rng.randint(0, 25), rng.randint(1, 5)
+        lines[len(lines) // 2 : len(lines) // 2] = [*pool[at : at + size], ""]
+        rows.append((i, "\n".join(lines), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    gone = brute_lines([r[:2] for r in rows])
+    assert sum(map(len, gone.values())) > 20
+    for row in line_dedup.dedup_lines(docs).collect():
+        held = [w for w in rows[row.doc_id][1].split("\n") if w.split()]
+        kept = [w for w in row.text.split("\n") if w.split()]
+        assert kept == [w for k, w in enumerate(held) if k not in gone[row.doc_id]]
+    out = line_dedup.dedup_lines(odd)
+    assert out.columns == odd.columns and out.count() == odd.count()
+    assert line_dedup.dedup_lines(none).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op4_winnowed_lines", "op9_systematic_mix", "pipeline"])
+def test_queries_run(spark, name):
+    from __spark_entry__ import queries
+
+    assert queries()[name](spark, "/root/testdata/sf0.001").count() > 0

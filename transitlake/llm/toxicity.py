@@ -316,7 +316,8 @@ def _scores_of(model: Model):
 
 
 def best_cut(z: np.ndarray, toxic: np.ndarray) -> float:
-    """Cut of largest F1; of several the middle of the widest gap."""
+    """Cut of largest F1 among those above which more rows are toxic than clean; of several the middle of the widest
+    gap. Without such a cut it lies above all scores: a model that learned nothing rejects nothing."""
     if not len(z) or toxic.min() == toxic.max():
         return 0.0
     order = np.argsort(-z, kind="stable")
@@ -325,6 +326,9 @@ def best_cut(z: np.ndarray, toxic: np.ndarray) -> float:
     f1 = 2 * hit / (np.arange(1, len(z) + 1) + toxic.sum())
     # A cut lies between different scores only.
     f1[:-1][z[:-1] == z[1:]] = -1
+    f1[2 * hit <= np.arange(1, len(z) + 1)] = -1
+    if f1.max() < 0:
+        return float(z.max() + 1)
     best = np.flatnonzero(f1 == f1.max())
     low = np.append(z, z[-1] - 2)[best + 1]
     widest = best[np.argmax(z[best] - low)]

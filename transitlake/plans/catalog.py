@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from transitlake.schemas import FEED_TYPES, SCHEDULE_TABLES
 from transitlake.sources.raw import path_exists
-from transitlake.sources.tables import read_partition, read_schedule_table, read_table
+from transitlake.sources.tables import read_partition, read_schedule_table, read_table, schedule_layouts
 
 # Rows of a preview.
 PREVIEW_ROWS = 100
@@ -29,10 +29,7 @@ def register_schedule_views(spark: SparkSession, root: str) -> list[str]:
     """Views ``schedule_<table>`` for the schedule tables that hold data; returns their names."""
     names = []
     for table in SCHEDULE_TABLES:
-        root = root.rstrip("/")
-        if path_exists(spark, f"{root}/schedule_tables/{table}") or path_exists(
-            spark, f"{root}/schedules/*/*/{table}.parquet"
-        ):
+        if any(schedule_layouts(spark, root, table)):
             read_schedule_table(spark, root, table).createOrReplaceTempView(f"schedule_{table}")
             names.append(f"schedule_{table}")
     return names

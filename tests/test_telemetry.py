@@ -106,6 +106,11 @@ def test_ticks(log):
     found = latest_ticks(log(tick(1, 9), tick(19, 5), tick(20, 0), tick(39, 5.1)), 20).collect()
     assert len(found) == 1 and found[0].planned == 2
 
+    rows = log(tick(1, 0), tick(19, 0), tick(20, 0), tick(39, 0)).withColumn("every", F.lit(10))
+    assert sorted(r.bucket % 2 for r in latest_ticks(rows, F.col("every")).collect()) == [0, 0, 1, 1]
+    (row,) = latest_ticks(rows, F.lit(None).cast("int")).collect()
+    assert row.bucket is None and row.planned == 4
+
 
 def test_event_log(spark, tmp_path):
     (tmp_path / "log.json").write_text(

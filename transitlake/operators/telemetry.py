@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from transitlake.functions.hashing import in_shard
+from transitlake.functions.hashing import in_shard, md5_mod
 from transitlake.functions.times import seconds_between, seconds_since
 
 # Statuses that are not worth a retry, and exception classes of the HTTP client.
@@ -175,15 +175,26 @@ def feed_status(registry: DataFrame, classified: DataFrame, now: Column) -> Data
     )
 
 
+def feeds_by_shard(registry: DataFrame, shards: int) -> DataFrame:
+    """Feeds and poll jobs of every worker that has any, in one pass over the registry."""
+    shard = md5_mod(F.col("feed_id"), F.lit(shards)).alias("shard")
+    return registry.groupBy(shard).agg(F.count("*").alias("active_feeds"), F.count("*").alias("scheduler_jobs"))
+
+
 def active_feeds(registry: DataFrame, shard: int = 0, shards: int = 1) -> DataFrame:
     """Feeds and poll jobs of one worker; every feed has one job."""
     own = registry.where(in_shard(F.col("feed_id"), shard, shards))
     return own.agg(F.count("*").alias("active_feeds"), F.count("*").alias("scheduler_jobs"))
 
 
-def latest_ticks(log: DataFrame, bucket_seconds: int, grace: float = MISFIRE_GRACE_SECONDS) -> DataFrame:
-    """Of the polls planned in the same interval only the last, unless it started too late."""
-    bucket = F.floor(F.unix_micros("scheduled_ts") / (bucket_seconds * 1_000_000))
+def latest_ticks(log: DataFrame, interval: Column | int, grace: float = MISFIRE_GRACE_SECONDS) -> DataFrame:
+    """Of the polls planned in the same interval only the last, unless it started too late.
+
+    ``interval`` is in seconds: one for all feeds, or a column such as the interval of each feed. A feed
+    whose interval is NULL or zero has one bucket, NULL.
+    """
+    seconds = F.nullif(interval if isinstance(interval, Column) else F.lit(interval), F.lit(0))
+    bucket = F.floor(F.unix_micros("scheduled_ts") / (seconds * F.lit(1_000_000).cast("bigint")))
     last = log.groupBy("feed_id", bucket.alias("bucket")).agg(
         F.max_by(F.struct("scheduled_ts", "start_ts"), F.struct("scheduled_ts", "start_ts")).alias("tick"),
         F.count("*").alias("planned"),

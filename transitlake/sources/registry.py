@@ -14,14 +14,13 @@ DEFAULT_TIMEOUT = 30
 DEFAULT_RETRY = {"max_attempts": 3, "backoff_base": 1.0, "backoff_max": 10.0}
 
 
-def load_yaml(path: str) -> dict[str, Any]:
-    """The registry document. It is configuration of feed-count size and read on the driver."""
+def load_yaml(spark: SparkSession, path: str) -> dict[str, Any]:
+    """The registry document, from any file system Spark reads; configuration of feed-count size."""
     try:
         import yaml
     except ImportError as missing:  # pragma: no cover
         raise ImportError("reading a YAML registry needs PyYAML") from missing
-    with open(path, encoding="utf-8") as file:
-        return yaml.safe_load(file)
+    return yaml.safe_load(spark.read.text(path, wholetext=True).first()["value"])
 
 
 def defaults_of(document: dict[str, Any]) -> dict[str, Any]:
@@ -59,7 +58,7 @@ def agencies_frame(spark: SparkSession, document: dict[str, Any]) -> DataFrame:
 
 def read_registry(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, Any]]:
     """Agencies and defaults of a YAML file."""
-    document = load_yaml(path)
+    document = load_yaml(spark, path)
     return agencies_frame(spark, document), defaults_of(document)
 
 

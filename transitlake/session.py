@@ -8,9 +8,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-# Rows a side may have before it is no longer broadcast.
+# Rows a side may have to be broadcast.
 BROADCAST_ROWS = 200_000
 
 
@@ -70,12 +70,6 @@ def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it has at most ``max_rows`` rows.
-
-    The check reads no more than ``max_rows + 1`` rows. A larger side comes back without a hint, so
-    that the join shuffles instead.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` may be broadcast. The check reads no more than ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows

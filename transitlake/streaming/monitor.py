@@ -17,14 +17,20 @@ def last_success_stream(log: DataFrame) -> DataFrame:
     )
 
 
-def new_version_requests(checks: DataFrame) -> DataFrame:
+# Days behind the newest check for which a stream still gives ingest requests, and so keeps their keys.
+VERSION_DAYS = 30
+
+
+def new_version_requests(checks: DataFrame, keep_days: int = VERSION_DAYS) -> DataFrame:
     """Ingest requests from a stream of check results: the new versions, each request once.
 
-    Which results were handled is kept by the checkpoint of the stream.
+    Which results were handled is kept by the checkpoint of the stream, for ``keep_days`` days behind the newest check.
+    An older result gives no request here; the next check finds its version again as long as it is not stored.
     """
-    new = checks.where(F.col("status") == "new")
+    new = checks.where(F.col("status") == "new").withWatermark("checked_at", f"{keep_days} days")
     key = F.concat_ws("_", F.lit("schedule_ingest"), F.unix_micros("checked_at").cast("string"), "feed_key")
-    return new.select(key.alias("run_key"), "schedule_url", "feed_key", "_feed_digest").dropDuplicates(["run_key"])
+    keyed = new.select(key.alias("run_key"), "schedule_url", "feed_key", "_feed_digest", "checked_at")
+    return keyed.dropDuplicates(["run_key", "checked_at"]).drop("checked_at")
 
 
 def write_latest(updates: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:

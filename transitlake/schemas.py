@@ -15,10 +15,6 @@ FEED_TYPES = ("vehicle_positions", "trip_updates", "service_alerts")
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 RAW_PARTITIONS = "date DATE, hour STRING, base64url STRING"
 
-SNAPSHOT_COLUMNS = (
-    "feed_type", "date", "hour", "base64url", "source_file", "length", "fetch_timestamp", "content",
-)
-
 SIDECAR = (
     "feed_id STRING, agency_id STRING, agency_name STRING, system_id STRING, system_name STRING, "
     "schedule_url STRING, url STRING, fetch_timestamp STRING, duration_ms DOUBLE, "

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from transitlake.functions.paths import path_stem
 from transitlake.functions.times import iso_timestamp
-from transitlake.schemas import BINARY_FILE, FEED_TYPES, RAW_PARTITIONS
+from transitlake.schemas import BINARY_FILE, FEED_TYPES, RAW_PARTITIONS, SIDECAR
 
 SNAPSHOT_GLOB = "*.pb"
 SIDECAR_GLOB = "*.meta"
@@ -79,6 +79,22 @@ def read_sidecars(
     )
 
 
+def read_fetch_records(
+    spark: SparkSession, root: str, feed_type: str, dates: Iterable[str] | None = None
+) -> DataFrame:
+    """Whole fetch records with the type and path stem of their snapshot; unreadable documents are left out."""
+    files = _scan(spark, root, feed_type, SIDECAR_GLOB, dates)
+    return fetch_records(
+        files.select("feed_type", path_stem(F.col("source_file")).alias("stem"), F.col("content").cast("string").alias("document"))
+    )
+
+
+def fetch_records(documents: DataFrame) -> DataFrame:
+    """Fields of fetch records from (feed_type, stem, document)."""
+    parsed = documents.select("feed_type", "stem", F.from_json("document", SIDECAR).alias("r"))
+    return parsed.where(F.col("r.feed_id").isNotNull()).select("feed_type", "stem", "r.*")
+
+
 def empty_snapshots(sidecars: DataFrame) -> DataFrame:
     """Listing rows of snapshots without a single byte.
 

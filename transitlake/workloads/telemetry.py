@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from transitlake.functions.times import seconds_between
+from transitlake.functions import utc_stamp
 from transitlake.operators.telemetry import (
     byte_counters,
     classify,
@@ -17,7 +18,9 @@ from transitlake.operators.telemetry import (
     with_delays,
 )
 from transitlake.session import work_folder
-from transitlake.sources.fetch_log import event_counts, read_event_log
+from transitlake.sinks.raw import fetch_record
+from transitlake.sources.fetch_log import attempts, event_counts, read_event_log
+from transitlake.sources.raw import fetch_records
 from transitlake.workloads.tables import micros, rounded, table
 
 # Status, exception and upload result of a poll by the last digits of its "k" property.
@@ -219,9 +222,9 @@ SELECT feed_id, bucket, tick[1] AS scheduled_us, round((tick[2] - tick[1]) / 1e6
 FROM t WHERE (tick[2] - tick[1]) / 1e6 <= {GRACE}"""
 
 
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Polls written as log lines and read back from them."""
-    log = classify(polls(spark, sf_dir))
+def _log_lines(polled: DataFrame) -> DataFrame:
+    """Log lines of polls: one for the fetch and, after a good one, one for the upload."""
+    log = classify(polled)
     label = F.col("error_type")
     event = (
         F.when(F.col("fetch_ok"), "fetch_success")
@@ -238,7 +241,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     def only(condition: Column, value: Column) -> Column:
         return F.when(condition, value)
 
-    lines = both.select(
+    return both.select(
         F.when(upload, F.when(F.col("upload_ok"), "upload_success").otherwise("upload_error")).otherwise(F.col("fetch_event")).alias("event"),
         "feed_id",
         only(~upload, F.col("feed_type")).alias("feed_type"),
@@ -246,10 +249,41 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         only(~upload & F.col("fetch_ok"), F.col("content_length")).alias("content_length"),
         only(~upload, F.col("status_code")).alias("status_code"),
         F.when(upload, F.col("upload_error")).otherwise(F.col("exception_class")).alias("error_type"),
+        utc_stamp(F.col("end_ts")).alias("timestamp"),
+        only(upload & F.col("upload_ok"), F.concat(_poll_stem(), F.lit(".pb"))).alias("path"),
+        only(upload & F.col("upload_ok"), F.col("upload_seconds")).alias("duration_seconds"),
+    )
+
+
+def _poll_stem() -> Column:
+    return F.concat_ws("/", "feed_type", F.col("event_id").cast("string"))
+
+
+def _written_lines(spark: SparkSession, polled: DataFrame, name: str) -> DataFrame:
+    path = f"{work_folder(spark, name)}/log"
+    _log_lines(polled).write.json(path)
+    return read_event_log(spark, path)
+
+
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls written as log lines and read back from them."""
+    return event_counts(_written_lines(spark, polls(spark, sf_dir), "event-log"))
+
+
+def logged_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of attempts that are put together from log lines and fetch records. A feed for each user and type."""
+    feed = F.concat_ws("-", "feed_id", "feed_type")
+    polled = polls(spark, sf_dir).withColumn("feed_id", feed)
+    nothing = F.lit(None).cast("string")
+    stored = classify(polled).where("fetch_ok AND upload_ok").select(
+        "*", F.col("agency").alias("agency_id"), F.col("agency").alias("agency_name"), nothing.alias("system_id"),
+        nothing.alias("system_name"), nothing.alias("schedule_url"), nothing.alias("url"),
+        F.create_map(F.lit("Content-Type"), "content_type").alias("headers"),
     )
-    path = f"{work_folder(spark, 'event-log')}/log"
-    lines.write.json(path)
-    return event_counts(read_event_log(spark, path))
+    documents = stored.select("feed_type", _poll_stem().alias("stem"), fetch_record(stored).alias("document"))
+    feeds = polled.select("feed_id", "feed_type", F.col("agency").alias("agency_id")).distinct()
+    lines = _written_lines(spark, polled, "attempts")
+    return counters(classify(attempts(lines, fetch_records(documents), feeds)))
 
 
 EVENT_LOG = f"""
@@ -262,6 +296,8 @@ SELECT feed_id, stage, error_type, count(*) AS attempts, count(*) FILTER (WHERE
        coalesce(sum(bytes), 0)::BIGINT AS bytes
 FROM lines GROUP BY ALL"""
 
+LOGGED_COUNTERS = FETCH_COUNTERS.replace("SELECT feed_id, feed_type", "SELECT feed_id || '-' || feed_type AS feed_id, feed_type")
+
 QUERIES = {
     "fetch_outcomes": outcomes,
     "fetch_counters": fetch_counters,
@@ -272,6 +308,7 @@ QUERIES = {
     "last_times": last_seen,
     "latest_ticks": ticks,
     "fetch_event_log": event_log,
+    "logged_counters": logged_counters,
 }
 
 ORACLES = {
@@ -284,4 +321,5 @@ ORACLES = {
     "last_times": LAST_SEEN,
     "latest_ticks": TICKS,
     "fetch_event_log": EVENT_LOG,
+    "logged_counters": LOGGED_COUNTERS,
 }

@@ -73,7 +73,9 @@ def size_class(size: Column) -> Column:
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST_COPIES, seed: str = SEED) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies``, the times the mix has the row."""
     text, doc_id, source = F.col("text"), F.col("doc_id"), F.col("source")
-    number = F.md5(F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit(""))))
+    # Rows without an id are told apart by their text, so that they do not all meet in one cell.
+    name = F.coalesce(doc_id.cast("string"), F.xxhash64(text).cast("string"))
+    number = F.md5(F.concat(F.lit(seed), name))
 
     def keyed(df: DataFrame, salts: int) -> DataFrame:
         out = extended(df, size_=words_in(text), skey=source_key(source), order_=number)

@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from transitlake.llm import ann, decontamination, html_text, licenses, line_dedup, mixing, pii, sharding, simhash, toxicity
+import corpus_pipeline
+from transitlake.llm import ann, decontamination, html_text, licenses, line_dedup, mixing, pii, sharding, shingles, simhash, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, score string, n string"
 WORDS = "red blue green stone river mountain cloud field house garden table window".split()
@@ -148,6 +149,49 @@ def test_simhash_large_buckets(spark):
     assert got == dict(zip((i for i, _ in prints), brute_classes(prints)))
 
 
+def test_shingle_similarity(spark, odd, none):
+    """Components of all pairs of five-word similarity 0.8: chains, a crowd around a base, a common passage, short texts."""
+    rng = random.Random(12)
+    base = prose(rng, 64).split()
+    texts = [" ".join(base)]
+    for n in range(60):
+        words = list(base)
+        for at in rng.sample(range(64), rng.randint(1, 3)):
+            words[at] = f"other{n}"
+        texts.append(" ".join(words))
+    passage = prose(rng, 40)
+    texts += [passage + " " + prose(rng, rng.randint(4, 60)) for _ in range(60)]
+    texts += ["one two", "ONE  two", "one two three four five", "one two three four five six", "", None]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(r.doc_id, r.text) for r in odd.collect()]
+
+    def shingled(text):
+        words = (text or "").encode().lower().split()
+        return {tuple(words)} if 0 < len(words) < 5 else {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    sets = [shingled(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    ids = [i for i, _ in rows]
+    first = {g: min((i for i, h in zip(ids, group) if h == g and i is not None), default=None) for g in group}
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id) for r in shingles.near_duplicates(frame).collect()), key=repr)
+    assert got == sorted(((i, first[g]) for i, g in zip(ids, group)), key=repr)
+    assert shingles.keep_one(odd).columns == odd.columns
+    assert shingles.keep_one(none).count() == 0
+
+
+def test_pipeline_drops_similar_texts(spark):
+    """One word of 64 differs: five-word similarity 0.85, more than two bits of the fingerprint."""
+    words = prose(random.Random(4), 64).split()
+    frame = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[:30], "other", *words[31:]]))], "doc_id long, text string")
+    assert simhash.keep_one(frame).count() == 2
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame, "").collect()] == [1]
+
+
 def test_decontamination(spark, odd, none, benchmark):
     word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
     split = lambda t: word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))

@@ -124,13 +124,13 @@ def links(prints: DataFrame) -> DataFrame:
     return near.select("a", "b").union(many).distinct()
 
 
-def classes(rows: DataFrame) -> DataFrame:
+def classes(rows: DataFrame, linked: DataFrame | None = None) -> DataFrame:
     """``rows`` (doc_id, text_hash, fp) with ``component_id`` and ``keeper``, the row that stands for the
-    component: its smallest (doc_id, text_hash)."""
+    component: its smallest (doc_id, text_hash). ``linked`` (a, b) are the links, without it those of ``links``."""
     # A null id comes after all others.
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     per_print = hold(rows.groupBy("fp").agg(F.min(rank).alias("first")), "simhash-prints")
-    roots = hold(components(links(per_print.select("fp")), "simhash-links"), "simhash-roots")
+    roots = hold(components(links(per_print.select("fp")) if linked is None else linked, "simhash-links"), "simhash-roots")
     joined = per_print.join(roots, per_print.fp == roots.node, "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
@@ -149,8 +149,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest ``doc_id``, of several such rows the
     one with the smallest text hash. All columns stay as they are."""
-    kept = (
-        near_duplicates(docs)
+    return kept(docs, near_duplicates(docs))
+
+
+def kept(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stand for their component in ``found`` (of ``classes``), each once."""
+    keepers = (
+        found
         .where(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash").eqNullSafe(F.col("keeper")))
         .select(F.struct("doc_id", "text_hash").alias("kept_row"))
         .distinct()
@@ -160,7 +165,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"),
         F.xxhash64("text").alias("__hash"),
     )
-    wanted = kept.select(
+    wanted = keepers.select(
         F.coalesce(F.col("kept_row.doc_id").cast("string"), F.lit("")).alias("__id"),
         F.col("kept_row.text_hash").alias("__hash"),
     )

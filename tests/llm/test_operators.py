@@ -220,6 +220,24 @@ def test_decontamination(spark, odd, none, benchmark):
     assert not any(r.n_hit for r in decontamination.contamination(odd, benchmark.limit(0)).collect())
 
 
+def test_decontamination_does_not_depend_on_blocks(spark):
+    """Items in blocks of their own: coverage over all, overlapping items, text that a later block joins."""
+    w = [f"w{i}" for i in range(200)]
+    text = lambda *parts: " ".join(x for part in parts for x in part)
+    items = [w[0:20], w[20:40], w[12:30], w[50:56] + w[70:76], w[56:70]]
+    docs = [
+        text(w[0:20], w[100:110], w[20:40]),
+        text(w[100:160], w[0:30], w[160:190]),
+        text(w[100:160], w[50:76], w[160:190]),
+    ]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string").coalesce(1)
+    whole = {r.doc_id: r.text.split() for r in decontamination.decontaminate(frame, benchmark).collect()}
+    parted = {r.doc_id: r.text.split() for r in decontamination.decontaminate(frame, benchmark, block_words=3).collect()}
+    assert len(decontamination.item_blocks(benchmark, 3)) == 5
+    assert parted == whole == {1: w[100:190], 2: w[100:190]}
+
+
 def test_toxicity(spark, odd, none, labels):
     rng = random.Random(2)
     rows = [(i, prose(rng, 40) + (" lowei" + str(i % 7) + " lowei" + str(i % 5) if i % 6 == 0 else "")) for i in range(700)]

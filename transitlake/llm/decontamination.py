@@ -5,9 +5,9 @@ at each word it knows the longest match that ends there. Where that reaches the
 ``WINDOW`` words stand in some item, and all of them are hit; an item shorter than the window is one
 window of its own, found at the states of which it is a suffix.
 
-Benchmark items are cut into blocks of ``BLOCK_WORDS`` words, which bounds the automaton that a task
-holds; each block is one pass over the documents, so any number of items works. Whole items go to a
-block; documents are read in a stream, row by row.
+Benchmark items are cut into blocks of ``BLOCK_WORDS`` words, one automaton each; whole items go to a
+block, and a task holds the automata of all blocks. The result does not depend on the cut: what the blocks find in a text is united
+before anything is decided. Documents are read in a stream, row by row.
 
 Defined cases: null and empty texts have no words, no hits and stay; an item without words never
 occurs; a null ``item_id`` counts as an item but has no id to report; repeated items and rows each count
@@ -267,11 +267,11 @@ def _rows(make):
     return run
 
 
-def _cleaner(blocks: list, window: int, coverage: float, names: list[str]):
-    """Texts without their hit words; rows that are mostly benchmark are left out."""
+def _cleaner(blocks: list[list], window: int, coverage: float):
+    """Texts without the words that any block hits; rows that are mostly benchmark are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(((n, words) for n, _, words in blocks), window)
+        automata = [Automaton(((n, words) for n, _, words in block), window) for block in blocks]
         for batch in batches:
             texts, keep, counts = [], [], []
             for text in batch.column("text").to_pylist():
@@ -281,7 +281,8 @@ def _cleaner(blocks: list, window: int, coverage: float, names: list[str]):
                 while found:
                     places = [m.span() for m in WORD.finditer(kept.lower())]
                     lowered = kept.lower()
-                    spans = _merge(automaton.scan([lowered[b:e] for b, e in places])[0])
+                    words = [lowered[b:e] for b, e in places]
+                    spans = _merge(span for automaton in automata for span in automaton.scan(words)[0])
                     found = bool(spans)
                     if found:
                         hit = sum(end - begin for begin, end in spans)
@@ -311,15 +312,17 @@ def _cleaner(blocks: list, window: int, coverage: float, names: list[str]):
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    coverage: float = COVERAGE,
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """``docs`` without the words that stand in a window of an item; ``n_chars`` follows a changed text.
 
     A document of which ``coverage`` or more of the words are hit goes as a whole; a clean one stays as it is.
     """
-    for block in item_blocks(benchmark):
-        docs = docs.mapInArrow(_cleaner(block, window, coverage, docs.columns), docs.schema)
-    return docs
+    return docs.mapInArrow(_cleaner(item_blocks(benchmark, block_words), window, coverage), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

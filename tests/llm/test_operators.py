@@ -314,6 +314,17 @@ def test_nearest(spark):
     assert ann.search(frame.limit(0)).count() == 0
 
 
+def test_nearest_of_repeated_ids(spark):
+    """Repeated ids are one query: 20 different rows of others, also where its own rows are the nearest."""
+    rng = np.random.default_rng(5)
+    x = [[float(c) for c in v] for v in rng.normal(size=(80, 8)).astype(np.float32)]
+    rows = [(i + 1, v) for i, v in enumerate(x)] + [(20, x[19])] * 25
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).where("query_id = 20").collect()
+    wide = np.array(x, np.float64)
+    order = np.argsort(-(wide @ wide[19]))
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == [int(i) + 1 for i in order if i != 19][:20]
+
+
 def test_pages(spark):
     story = "".join(f"<p>Sentence {i} of the <b>st</b>ory, it goes on &amp; on. And then it ends.</p>" for i in range(8))
     page = "<html><body><nav><a href='/'>Home</a></nav><div class='ad'>Buy it now</div><article><h1>Title</h1>{}</article><footer>&copy; me</footer></body></html>"

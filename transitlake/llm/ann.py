@@ -12,7 +12,8 @@ is a floor: entries below it cannot be in the result, so blocks leave them out.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do vectors of another
 length than the most frequent one (of several the longest); a null ``vec_id`` takes no part; with fewer candidates than asked for, all are returned
-when all partitions are probed; equal scores go to the smaller id; rows that repeat a ``vec_id`` are candidates of their own for others;
+when all partitions are probed; equal scores go to the smaller id; rows that repeat a ``vec_id`` are candidates of their own for others
+and one query, which takes the best of what its different vectors find, no row of its own id among them;
 an empty table gives an empty result. Other columns of the input are not looked at.
 """
 
@@ -181,7 +182,7 @@ def _routed(router: Router, probes: int, known: np.ndarray | None = None, need:
 
 def _compare(left: pa.Table, right: pa.Table, need: int) -> pa.Table:
     """Best ``need`` entries of a block of vectors (right) for each query of a block (left)."""
-    out_q, out_v, out_s = [], [], []
+    out_q, out_v, out_l, out_s = [], [], [], []
     if left.num_rows and right.num_rows:
         queries, vectors = (_matrix(t.column("vector").combine_chunks()) for t in (left, right))
         names, entries = left.column("entry").to_numpy(), right.column("entry").to_numpy()
@@ -199,12 +200,14 @@ def _compare(left: pa.Table, right: pa.Table, need: int) -> pa.Table:
             kept = place < k
             out_q.append(names[start + rows[kept]])
             out_v.append(entries[columns[kept]])
+            out_l.append(least[columns[kept]])
             out_s.append(near[rows[kept], columns[kept]])
     empty = np.zeros(0)
     return pa.table(
         {
             "query": pa.array(np.concatenate(out_q) if out_q else empty, pa.int64()),
             "entry": pa.array(np.concatenate(out_v) if out_v else empty, pa.int64()),
+            "least": pa.array(np.concatenate(out_l) if out_l else empty, pa.int64()),
             "score": pa.array(np.concatenate(out_s) if out_s else empty, pa.float64()),
         }
     )
@@ -225,6 +228,14 @@ def usable(vectors: DataFrame) -> DataFrame:
     return finite.where(F.size(v) == (best["size"] if best else 0)).select("vec_id", F.transform(v, lambda x: x + F.lit(0.0).cast("float")).alias("vector"))
 
 
+def _leading(rows: DataFrame, group: list[str], order: list, need: int) -> DataFrame:
+    """The first rows of each group, so many that ``need`` are left without the rows of any one id; ``n`` numbers the
+    rows of an id."""
+    by = W.partitionBy(*group).orderBy(*order)
+    placed = rows.withColumn("__place", F.row_number().over(by)).withColumn("__most", F.max("n").over(by.rowsBetween(W.unboundedPreceding, 0)))
+    return placed.where(F.col("__place") - F.col("__most") <= need).drop("__place", "__most")
+
+
 def search(
     vectors: DataFrame, top: int = TOP, step: int = QUERY_STEP, recall: float = RECALL
 ) -> DataFrame:
@@ -234,11 +245,11 @@ def search(
     rows = hold(usable(vectors).withColumn("entry", F.xxhash64("vector")), "ann-rows")
     # The smallest ids of each vector, in two steps: first within salts, so that a frequent vector is no one task's.
     salt = F.pmod(F.xxhash64("vec_id"), F.lit(64)).cast("int")
-    first = W.partitionBy("entry", "salt").orderBy("vec_id")
-    salted = rows.select("entry", "vec_id", salt.alias("salt")).withColumn("n", F.row_number().over(first)).where(f"n <= {need}")
-    # Ids that repeat stay apart by their number.
-    some = salted.withColumn("n", F.row_number().over(W.partitionBy("entry").orderBy("vec_id", "salt", "n"))).where(f"n <= {need}")
-    ids = hold(some.select("entry", "vec_id", "n"), "ann-ids")
+    # Ids that repeat stay apart by their number, up to as many as a result needs.
+    salted = rows.select("entry", "vec_id", salt.alias("salt"))
+    salted = salted.withColumn("n", F.row_number().over(W.partitionBy("entry", "salt", "vec_id").orderBy("vec_id"))).where(f"n <= {need}")
+    some = _leading(salted, ["entry", "salt"], [F.col("vec_id"), F.col("n")], need)
+    ids = hold(_leading(some, ["entry"], [F.col("vec_id"), F.col("n")], need).select("entry", "vec_id", "n"), "ann-ids")
     entries = hold(rows.groupBy("entry").agg(F.first("vector").alias("vector"), F.min("vec_id").alias("least")), "ann-entries")
     total = entries.count()
     out = "query_id long, rank int, vec_id long, score double"
@@ -276,22 +287,27 @@ def search(
     near = (
         left.groupBy(*keys)
         .cogroup(right.groupBy(*keys))
-        .applyInArrow(lambda a, b: _compare(a, b, need), "query long, entry long, score double")
+        .applyInArrow(lambda a, b: _compare(a, b, need), "query long, entry long, least long, score double")
     )
     # The best entries of each query, then their ids. Scores are worked out again on the vectors, the same way everywhere.
-    best = near.withColumn("n", F.row_number().over(W.partitionBy("query").orderBy(F.col("score").desc(), "entry")))
+    best = near.withColumn("n", F.row_number().over(W.partitionBy("query").orderBy(F.col("score").desc(), "least", "entry")))
     best = hold(best.where(f"n <= {2 * need}").select("query", "entry"), "ann-best")
     pairs = (
         best.join(entries.select("entry", F.col("vector").alias("b")), "entry")
         .join(entries.select(F.col("entry").alias("query"), F.col("vector").alias("a")), "query")
         .select("query", "entry", F.expr("aggregate(zip_with(a, b, (x, y) -> double(x) * double(y)), 0D, (s, x) -> s + x)").alias("score"))
     )
-    named = pairs.join(ids, "entry").select("query", "vec_id", "n", "score")
-    # As many as a query needs beside itself; then for each row of that vector.
-    ranked = named.withColumn("place", F.row_number().over(W.partitionBy("query").orderBy(F.col("score").desc(), "vec_id", "n")))
-    short = hold(ranked.where(f"place <= {need + 1}").drop("place"), "ann-short")
-    found = asked.withColumnRenamed("vec_id", "query_id").join(short, F.col("entry") == F.col("query")).where("vec_id <> query_id")
-    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id", "n")
+    named = pairs.join(ids, "entry").select("query", "entry", "vec_id", "n", "score")
+    # As many as a query needs beside any one id; then for each id that has that vector.
+    by_score = [F.col("score").desc(), F.col("vec_id"), F.col("place")]
+    order = W.partitionBy("query", "vec_id").orderBy(F.col("score").desc(), "n", "entry")
+    numbered = named.withColumn("place", F.row_number().over(order)).where(f"place <= {need}")
+    short = hold(_leading(numbered.withColumnRenamed("n", "copy").withColumn("n", F.col("place")), ["query"], by_score, need), "ann-short")
+    queried = asked.distinct().select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query"))
+    found = queried.join(short, "query").where("vec_id <> query_id")
+    # A row that several vectors of an id find counts once, with its best score.
+    found = found.groupBy("query_id", "vec_id", "entry", F.col("copy").alias("n")).agg(F.max("score").alias("score"))
+    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id", "entry", "n")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(f"rank <= {top}")

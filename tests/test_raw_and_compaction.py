@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from transitlake.operators.layout import SlicePlan, hour_sizes
 from transitlake.plans.catalog import preview, register_views, with_feed
 from transitlake.plans.compaction import compact, compact_run, compact_snapshots
 from transitlake.sinks.raw import fetch_record, snapshot_rows
+from transitlake.sinks.runs import empties, forget, partition_stats, recover, run_files
+from transitlake.sources.archive import list_snapshots, load_snapshots
 from transitlake.sources.listing import file_row_counts, partition_row_counts
 from transitlake.sources.raw import list_objects, read_sidecars, read_snapshots
 from transitlake.sources.tables import read_feeds, read_partition, read_table, read_unsigned
@@ -77,6 +80,7 @@ def test_compact(spark, raw, tmp_path):
     run = compact_run(spark, raw, out, "vehicle_positions", [DAY])
     runs = {r.feed_url: r for r in run.records.collect()}
     assert (runs[URL].files_processed, runs[URL].records_written) == (8, 14)
+    assert run.counts == {"rows": 14, "rejected": 1, "empty": 2}
     assert runs[URL].feed == "example.com/feed" and runs[URL].output_path.endswith(f"base64url={URL_B64}")
     empty = runs["https://123"]
     assert (empty.files_processed, empty.records_written, empty.output_path) == (2, 0, None)
@@ -110,8 +114,6 @@ def test_rerun_replaces_only_its_partitions(spark, raw, tmp_path):
 
 def test_records_and_rejects_are_those_of_the_run(spark, raw, tmp_path):
     """Snapshots go bad after the first run: what it left in the table neither counts nor hides them."""
-    from pathlib import Path
-
     out = str(tmp_path / "out")
     first = compact_run(spark, raw, out, "vehicle_positions", [DAY])
     assert sum(r.records_written for r in first.records.collect()) == 14
@@ -127,8 +129,6 @@ def test_records_and_rejects_are_those_of_the_run(spark, raw, tmp_path):
 
 
 def test_sidecar_of_zero_bytes_beside_a_snapshot_counts_once(spark, raw, tmp_path):
-    from pathlib import Path
-
     file = next(f for f in sorted(Path(raw).rglob(f"date={DAY}/hour=*/base64url={URL_B64}/*.pb")) if f.stat().st_size)
     file.with_suffix(".meta").write_text('{"content_length": 0}')
     runs = compact(spark, raw, str(tmp_path / "out"), "vehicle_positions", [DAY]).collect()
@@ -138,8 +138,9 @@ def test_sidecar_of_zero_bytes_beside_a_snapshot_counts_once(spark, raw, tmp_pat
 def test_folder_that_is_no_base64url_is_rejected(spark, vehicle_feed):
     from transitlake.operators.decode import decode_snapshots, quarantine
 
-    rows = spark.createDataFrame([("vehicle_positions", "a", vehicle_feed)], "feed_type STRING, base64url STRING, content BINARY")
-    (row,) = quarantine(decode_snapshots(rows)).collect()
+    schema = "date STRING, base64url STRING, source_file STRING, fetch_timestamp TIMESTAMP, content BINARY"
+    rows = spark.createDataFrame([(DAY, "a", "file", None, vehicle_feed)], schema)
+    (row,) = quarantine(decode_snapshots(rows, "vehicle_positions")).collect()
     assert row.error == "ValueError: folder name is no base64url"
 
 
@@ -148,8 +149,10 @@ def test_zstd_files(spark, raw, tmp_path):
 
     out = tmp_path / "out"
     compact(spark, raw, str(out), "vehicle_positions", [DAY])
-    (file,) = out.rglob("*.parquet")
+    (file,) = (out / "vehicle_positions").rglob("*.parquet")
     assert pq.read_metadata(file).row_group(0).column(0).compression == "ZSTD"
+    # The columns of the table and no other.
+    assert pq.read_schema(file).names == read_table(spark, str(out), "vehicle_positions").columns[:-2]
 
 
 def test_hot_feed_is_sliced_and_whole(spark, raw, tmp_path):
@@ -248,3 +251,89 @@ def test_fetch_record_and_snapshot_rows(spark):
     (snapshot,) = snapshot_rows(fetches).collect()
     assert snapshot.hour == "2025-01-15T14:00:00Z" and snapshot.length == 3 and snapshot.base64url == URL_B64
     assert spark.range(1).select(base64url_encode(F.lit(URL))).first()[0] == URL_B64
+
+
+def test_empty_snapshots_count_without_a_sidecar(spark, raw, tmp_path):
+    """Listed in tasks, an object of zero bytes is a snapshot like any other."""
+    write_raw(Path(raw), "vehicle_positions", "MTIz", [f"{DAY}T06:00:00.000Z", f"{DAY}T07:00:00.000Z"], b"")
+    run = compact_run(spark, raw, str(tmp_path / "out"), "vehicle_positions", [DAY])
+    assert {r.feed_url: r.files_processed for r in run.records.collect()} == {URL: 8, "https://123": 4}
+    assert sorted(r.source_file[-27:] for r in empties(spark, run.run).collect()) == [
+        f"{DAY}T05:00:00.000Z.pb", f"{DAY}T05:00:20.000Z.pb", f"{DAY}T06:00:00.000Z.pb", f"{DAY}T07:00:00.000Z.pb"
+    ]
+
+
+def test_content_is_read_once(spark, raw, tmp_path):
+    """Every read of a snapshot leaves a byte in a file of the test: as many as there are snapshots, with rejects and counts."""
+    reads = tmp_path / "reads"
+
+    def counted(batches):
+        for batch in batches:
+            with reads.open("ab") as log:
+                log.write(b"." * batch.num_rows)
+            yield batch
+
+    found = load_snapshots(spark, raw, "vehicle_positions", [DAY])
+    listing = list_snapshots(spark, raw, "vehicle_positions", [DAY])
+    run = compact_snapshots(found.mapInArrow(counted, found.schema), str(tmp_path / "out"), "vehicle_positions", listing=listing)
+    assert run.rejected.count() == 1 and run.records.count() == 2 and run.counts["rows"] == 14
+    assert len(reads.read_bytes()) == 10
+
+
+@pytest.mark.parametrize("step", ["write_run", "commit"])
+def test_a_failing_run_leaves_the_old_partition_whole(spark, raw, tmp_path, monkeypatch, step):
+    from transitlake.plans import compaction
+
+    out = str(tmp_path / "out")
+    compact(spark, raw, out, "vehicle_positions", [DAY])
+    before = sorted(map(tuple, read_table(spark, out, "vehicle_positions").collect()), key=repr)
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(compaction, step, stop)
+    write_raw(Path(raw), "vehicle_positions", URL_B64, [f"{DAY}T08:00:00.000Z"], (Path(raw) / before[0][0]).read_bytes())
+    with pytest.raises(RuntimeError):
+        compact(spark, raw, out, "vehicle_positions", [DAY])
+    assert recover(spark, out, "vehicle_positions") == []
+    assert sorted(map(tuple, read_table(spark, out, "vehicle_positions").collect()), key=repr) == before
+
+
+def test_a_committed_run_is_finished_by_the_next(spark, raw, tmp_path, monkeypatch):
+    """Stopped between two partitions: one is the new, one the old, each whole; then all are new, and figures with them."""
+    from transitlake.plans import compaction
+
+    out = str(tmp_path / "out")
+    compact(spark, raw, out, "vehicle_positions")
+    feed = next(f for f in Path(raw).rglob(f"base64url={URL_B64}/*.pb") if "T03" in f.name).read_bytes()
+    write_raw(Path(raw), "vehicle_positions", URL_B64, [f"{DAY}T08:00:00.000Z"], feed)
+    write_raw(Path(raw), "vehicle_positions", "MTIzNDU2", ["2024-01-02T08:00:00.000Z"], feed)
+
+    def first_only(spark, run):
+        moved = run_files(spark, run).first()
+        part = f"date={moved.date}/base64url={moved.base64url}"
+        (Path(run.table) / part).rename(Path(run.folder) / "moved")
+        (Path(run.folder) / "kind=rows" / part).rename(Path(run.table) / part)
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(compaction, "publish", first_only)
+    with pytest.raises(RuntimeError):
+        compact(spark, raw, out, "vehicle_positions")
+    spark.catalog.clearCache()
+    assert {r.n for r in read_table(spark, out, "vehicle_positions").groupBy("date").agg(F.count("*").alias("n")).collect()} in ({16, 2}, {14, 4})
+    assert len(recover(spark, out, "vehicle_positions")) == 1 and recover(spark, out, "vehicle_positions") == []
+    counts = {r.date.isoformat(): r.n for r in read_table(spark, out, "vehicle_positions").groupBy("date").agg(F.count("*").alias("n")).collect()}
+    assert counts == {DAY: 16, "2024-01-02": 4}
+    stats = partition_stats(spark, out, ["vehicle_positions"])
+    assert {(r.date, r.row_count) for r in stats.collect()} == {(DAY, 16), ("2024-01-02", 4)}
+    forget(spark, out, "vehicle_positions", keep=1)
+    assert partition_stats(spark, out).count() == 2 and len(list(Path(out).glob("_runs/vehicle_positions/*"))) == 1
+
+
+def test_statistics_equal_the_footers(spark, raw, tmp_path):
+    out = str(tmp_path / "out")
+    for days in (None, [DAY], ["2024-01-02"]):
+        compact(spark, raw, out, "vehicle_positions", days)
+    footers = file_row_counts(spark, out).select("feed_type", "date", "base64url", "row_count", "size_bytes")
+    kept = partition_stats(spark, out).select(*footers.columns)
+    assert kept.count() == 2 and kept.exceptAll(footers).count() == 0

@@ -50,6 +50,23 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return tempfile.mkdtemp(prefix=f"transitlake-{name}-")
 
 
+def hadoop(spark: SparkSession, path: str) -> tuple:
+    """The file system that holds ``path``, and the function that makes one of its paths from text."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def keyed_state(spark: SparkSession) -> dict[str, str]:
+    """Settings under which a stream with keyed state and timers has to be started: the state store that it needs.
+
+    That store copies files by way of the checksum layer of the local file system, which ``local_session`` turns off.
+    """
+    conf = {"spark__sql__streaming__stateStore__providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+    if "RawLocal" in (spark.sparkContext._jsc.hadoopConfiguration().get("fs.file.impl") or ""):
+        conf |= {"fs__file__impl": "org.apache.hadoop.fs.LocalFileSystem", "fs__file__impl__disable__cache": "true"}
+    return conf
+
+
 @contextmanager
 def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
     """Set SQL options for the jobs started inside the block, then put the old values back.

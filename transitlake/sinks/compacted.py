@@ -1,4 +1,4 @@
-"""Writers of the compacted tables and of the feed dimension."""
+"""Run records of the compacted tables, and the writer of the feed dimension."""
 
 from __future__ import annotations
 
@@ -10,25 +10,6 @@ from transitlake.functions.codec import feed_key, feed_url
 CODEC = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
 
 
-def write_table(flat: DataFrame, root: str, feed_type: str, max_records_per_file: int = 0) -> None:
-    """Write flat rows below ``{root}/{feed_type}``, replacing just the (date, feed) partitions they hold.
-
-    Rows come in as their tasks hold them: there is no shuffle here, and a feed and day that sits in
-    one task becomes one file. Inside a file rows are in time order, then in feed order. A feed and
-    day without rows is not touched.
-    """
-    ordered = flat.sortWithinPartitions("date", "base64url", "source_file", "entity_pos", "child_pos")
-    writer = (
-        ordered.drop("entity_pos", "child_pos")
-        .write.mode("overwrite")
-        .options(**CODEC)
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy("date", "base64url")
-    )
-    writer.parquet(f"{root.rstrip('/')}/{feed_type}")
-
-
 def write_feeds(feeds: DataFrame, root: str) -> None:
     """Write the feed dimension, one row per configured feed.
 

@@ -5,16 +5,13 @@ Every table row becomes its own snapshot, so building them needs no shuffle and
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from transitlake.functions import base64url_encode, path_stem, raw_path, utc_date, utc_stamp
-from transitlake.operators.decode import decode_snapshots, quarantine
-from transitlake.operators.flatten import FEED_TABLES
+from transitlake.operators.decode import flatten_snapshots
 from transitlake.operators.inventory import feed_lookup
 from transitlake.plans.catalog import with_feed
-from transitlake.plans.compaction import compact_snapshots, compaction_report, rejected_snapshots
+from transitlake.plans.compaction import compact_snapshots
 from transitlake.session import work_folder
 from transitlake.sinks.raw import fetch_record, snapshot_rows
 from transitlake.sources.raw import attach_fetch_time, sidecar_fetch_time
@@ -137,7 +134,7 @@ _FOLDED_ROWS = _VP_ROWS.replace("FROM events", f"FROM {FOLDED_EVENTS}")
 
 
 def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = FEED_TABLES["vehicle_positions"].flatten(decode_snapshots(vehicle_snapshots(spark, sf_dir)))
+    flat = flatten_snapshots(vehicle_snapshots(spark, sf_dir), "vehicle_positions")
     floats = ("latitude", "longitude", "bearing", "odometer", "speed")
     plain = [
         rounded(F.col(name)).alias(name) if name in floats
@@ -178,10 +175,9 @@ FROM rows"""
 
 def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejects of a second run, in which the snapshots of one feed have gone bad; its stored rows do not hide them."""
-    snapshots, root, _ = _compacted(spark, sf_dir, "rejected")
+    snapshots, root = _compacted(spark, sf_dir, "rejected")
     worse = _gone_bad(snapshots)
-    since = compact_snapshots(worse, root, "vehicle_positions", _sidecars(worse))
-    bad = rejected_snapshots(worse, root, "vehicle_positions", since)
+    bad = compact_snapshots(worse, root, "vehicle_positions", _sidecars(worse)).rejected
     return bad.select("source_file", F.split_part("error", F.lit(":"), F.lit(1)).alias("reason"))
 
 
@@ -202,20 +198,20 @@ def _gone_bad(snapshots: DataFrame) -> DataFrame:
     return snapshots.withColumn("content", content)
 
 
-def _compacted(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str, datetime]:
-    """Snapshots landed as a table, then compacted with sidecars: the landed table, the archive root, the run's start."""
+def _compacted(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
+    """Snapshots landed as a table, then compacted with sidecars: the landed table and the archive root."""
     root = work_folder(spark, name)
     landed = f"{root}/snapshots"
     # Hour and feed are plain columns of the landed table here: one folder per type and day.
     fetches = vehicle_fetches(folded(table(spark, sf_dir, "events")))
     snapshot_rows(fetches).write.partitionBy("feed_type", "date").parquet(landed)
     snapshots = spark.read.parquet(landed)
-    since = compact_snapshots(snapshots, f"{root}/archive", "vehicle_positions", _sidecars(snapshots))
-    return snapshots, f"{root}/archive", since
+    compact_snapshots(snapshots, f"{root}/archive", "vehicle_positions", _sidecars(snapshots))
+    return snapshots, f"{root}/archive"
 
 
 def compacted_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, root, _ = _compacted(spark, sf_dir, "compacted-feeds")
+    _, root = _compacted(spark, sf_dir, "compacted-feeds")
     return read_table(spark, root, "vehicle_positions").groupBy("feed_url", F.col("date").cast("string").alias("date")).agg(
         F.count("*").alias("positions"),
         F.countDistinct("source_file").alias("snapshots"),
@@ -235,10 +231,9 @@ FROM rows GROUP BY ALL"""
 
 def compaction_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run records of a second run, in which the snapshots of one feed have gone bad: its old rows do not count."""
-    snapshots, root, _ = _compacted(spark, sf_dir, "compaction-runs")
+    snapshots, root = _compacted(spark, sf_dir, "compaction-runs")
     worse = _gone_bad(snapshots)
-    since = compact_snapshots(worse, root, "vehicle_positions", _sidecars(worse))
-    runs = compaction_report(worse, root, "vehicle_positions", since)
+    runs = compact_snapshots(worse, root, "vehicle_positions", _sidecars(worse)).records
     written = F.col("output_path").isNotNull().alias("has_output")
     return runs.select("feed_type", "date", "feed", "feed_url", "files_processed", "records_written", written)
 
@@ -255,7 +250,7 @@ FROM f LEFT JOIN w USING (feed_url, date)"""
 
 def partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One day of every feed, read through the partition filter."""
-    _, root, _ = _compacted(spark, sf_dir, "partition-read")
+    _, root = _compacted(spark, sf_dir, "partition-read")
     facts = read_table(spark, root, "vehicle_positions")
     day = facts.where("date = DATE'2024-01-15'")
     return day.groupBy("base64url", F.col("date").cast("string").alias("date")).agg(
@@ -272,7 +267,7 @@ FROM rows WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15' GROUP BY ALL"""
 
 def agency_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions per agency: the facts joined with the feed dimension. Nations name the feeds."""
-    flat = FEED_TABLES["vehicle_positions"].flatten(decode_snapshots(vehicle_snapshots(spark, sf_dir)))
+    flat = flatten_snapshots(vehicle_snapshots(spark, sf_dir), "vehicle_positions")
     nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     named = nations.select(
         base64url_encode(feed_url(F.col("n_nationkey"))).alias("base64url"), feed_url(F.col("n_nationkey")).alias("url"),
@@ -354,7 +349,7 @@ def trip_fetches(orders: DataFrame) -> DataFrame:
 
 def trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshots = snapshot_rows(trip_fetches(table(spark, sf_dir, "orders")))
-    flat = FEED_TABLES["trip_updates"].flatten(decode_snapshots(snapshots))
+    flat = flatten_snapshots(snapshots, "trip_updates")
     return flat.withColumn("fetch_us", micros(F.col("fetch_timestamp"))).drop(
         "fetch_timestamp", "date", "base64url", "entity_pos"
     )
@@ -456,7 +451,7 @@ def alert_fetches(documents: DataFrame) -> DataFrame:
 
 def service_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshots = snapshot_rows(alert_fetches(table(spark, sf_dir, "documents")))
-    flat = FEED_TABLES["service_alerts"].flatten(decode_snapshots(snapshots))
+    flat = flatten_snapshots(snapshots, "service_alerts")
     return flat.withColumn("fetch_us", micros(F.col("fetch_timestamp"))).drop(
         "fetch_timestamp", "date", "base64url", "entity_pos"
     )

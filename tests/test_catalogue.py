@@ -153,3 +153,52 @@ def test_discovery(spark):
     assert "CartesianProduct" not in grid._jdf.queryExecution().executedPlan().toString()
     requests = run_requests(done.union(done)).collect()
     assert [r.run_key for r in requests] == ["trip_updates_2025-01-02_a"]
+
+
+def compacted(root, feed_type, day, base64url, rows):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = root / feed_type / f"date={day}" / f"base64url={base64url}"
+    folder.mkdir(parents=True, exist_ok=True)
+    pq.write_table(pa.table({"source_file": ["x"] * rows}), folder / "data.parquet")
+    return folder / "data.parquet"
+
+
+def test_footers_of_changed_partitions_only(spark, tmp_path):
+    """Kept figures count as long as files and bytes agree: a footer that cannot be read is not noticed then."""
+    from transitlake.sources.listing import partition_figures
+
+    old = compacted(tmp_path, "trip_updates", "2025-01-01", "123", 5)
+    other = compacted(tmp_path, "trip_updates", "2025-01-02", "123", 6)
+    new = compacted(tmp_path, "vehicle_positions", "2025-01-02", "abc", 7)
+    (tmp_path / "_runs" / "trip_updates").mkdir(parents=True)
+    (tmp_path / "_runs" / "trip_updates" / "part.parquet").write_bytes(b"not a table")
+    size = old.stat().st_size
+    old.write_bytes(b"x" * size)
+    schema = "feed_type STRING, date STRING, base64url STRING, files BIGINT, row_count BIGINT, size_bytes BIGINT"
+    kept = spark.createDataFrame(
+        [("trip_updates", "2025-01-01", "123", 1, 5, size), ("trip_updates", "2025-01-02", "123", 1, 99, 1), ("trip_updates", "2025-01-03", "gone", 1, 9, 9)],
+        schema,
+    )
+    found = partition_figures(spark, str(tmp_path), kept)
+    assert sorted(map(tuple, found.collect())) == [
+        ("trip_updates", "2025-01-01", "123", 1, 5, size), ("trip_updates", "2025-01-02", "123", 1, 6, other.stat().st_size),
+        ("vehicle_positions", "2025-01-02", "abc", 1, 7, new.stat().st_size),
+    ]
+    assert partition_figures(spark, str(tmp_path / "nowhere"), kept).count() == 0
+
+
+def test_objects_are_listed_in_tasks(spark, tmp_path):
+    from transitlake.sources.archive import ObjectListing, list_objects
+
+    for name in ("top", "a/one", "a/b/two", "a/b/c/d/three", "a/_runs/no", "a/.hidden", "_commits/no", "e/date=1/four"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    rows = list_objects(spark, str(tmp_path)).collect()
+    assert sorted((r.path, r.size_bytes) for r in rows) == [(n, len(n)) for n in ("a/b/c/d/three", "a/b/two", "a/one", "e/date=1/four", "top")]
+    assert [r.path for r in list_objects(spark, str(tmp_path), ["e"]).collect()] == ["e/date=1/four"]
+    parts = ObjectListing({"path": str(tmp_path)}).reader(None).partitions()
+    assert sorted((p.path.removeprefix(str(tmp_path)), p.recursive) for p in parts) == [
+        ("", False), ("/a", False), ("/a/b", True), ("/e", False), ("/e/date=1", True)
+    ]

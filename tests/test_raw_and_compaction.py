@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from transitlake.functions import base64url_encode
 from transitlake.operators.layout import SlicePlan, hour_sizes
-from transitlake.plans.catalog import preview, register_views, with_feed
+from transitlake.plans.catalog import add_partitions, create_tables, preview, register_views, with_feed
 from transitlake.plans.compaction import compact, compact_run, compact_snapshots
 from transitlake.sinks.raw import fetch_record, snapshot_rows
 from transitlake.sinks.runs import empties, forget, partition_stats, recover, run_files
@@ -337,3 +337,24 @@ def test_statistics_equal_the_footers(spark, raw, tmp_path):
     footers = file_row_counts(spark, out).select("feed_type", "date", "base64url", "row_count", "size_bytes")
     kept = partition_stats(spark, out).select(*footers.columns)
     assert kept.count() == 2 and kept.exceptAll(footers).count() == 0
+
+
+def test_catalogue_tables_look_at_named_days_only(spark, raw, tmp_path):
+    out = str(tmp_path / "out")
+    first = compact_run(spark, raw, out, "vehicle_positions", [DAY])
+    names = create_tables(spark, out, "archive_test")
+    try:
+        assert names[0] == "`archive_test`.vehicle_positions" and first.counts["rows"] == 14
+        count = "SELECT count(*) FROM archive_test.vehicle_positions"
+        assert spark.sql(count).first()[0] == 14 and spark.sql("SELECT * FROM archive_test.trip_updates").count() == 0
+        second = compact_run(spark, raw, out, "vehicle_positions", ["2024-01-02"])
+        # The catalogue decides what belongs to the table, and lists the folders of named days alone.
+        assert spark.sql(count).first()[0] == 14
+        add_partitions(spark, second.run, "archive_test")
+        assert spark.sql(count).first()[0] == 16
+        day = spark.sql("SELECT * FROM archive_test.vehicle_positions WHERE date = DATE'2024-01-02'")
+        assert [f.rsplit("/", 3)[1] for f in day.inputFiles()] == ["date=2024-01-02"] and day.count() == 2
+        assert spark.sql("SHOW PARTITIONS archive_test.vehicle_positions").count() == 2
+    finally:
+        spark.sql("DROP DATABASE archive_test CASCADE")
+    assert read_table(spark, out, "vehicle_positions").count() == 16

@@ -1,15 +1,20 @@
-"""SQL surface: the archive as views."""
+"""SQL surface: the archive as views, or as catalogue tables whose partitions the runs add."""
 
 from __future__ import annotations
 
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 
-from transitlake.schemas import FEED_TYPES, SCHEDULE_TABLES
+from transitlake.schemas import FEED_TYPES, SCHEDULE_TABLES, TABLES
+from transitlake.sinks.runs import Run, partition_stats, run_files
 from transitlake.sources.raw import path_exists
 from transitlake.sources.tables import read_partition, read_schedule_table, read_table, schedule_layouts
 
 # Rows of a preview.
 PREVIEW_ROWS = 100
+# Partitions that one statement adds.
+STATEMENT_PARTITIONS = 500
 
 
 def register_views(spark: SparkSession, root: str) -> list[str]:
@@ -35,6 +40,40 @@ def register_schedule_views(spark: SparkSession, root: str) -> list[str]:
     return names
 
 
+def create_tables(spark: SparkSession, root: str, database: str = "default") -> list[str]:
+    """Tables of the catalogue over the compacted tables below ``root``; returns their names.
+
+    The catalogue knows their partitions: a query on some days looks at the folders of these days and lists no other. It starts
+    with the partitions that the runs put in place (``sinks.runs.partition_stats``); every later run adds its own by ``add_partitions``.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    names = []
+    for feed_type in FEED_TYPES:
+        columns = TABLES[feed_type].replace(" NOT NULL", "")
+        name = f"`{database}`.{feed_type}"
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, date DATE, base64url STRING) USING parquet "
+            f"PARTITIONED BY (date, base64url) LOCATION '{root.rstrip('/')}/{feed_type}'"
+        )
+        _add(spark, name, partition_stats(spark, root, [feed_type]))
+        names.append(name)
+    return names
+
+
+def add_partitions(spark: SparkSession, run: Run, database: str = "default") -> None:
+    """Tell the catalogue the partitions of a run, from its record."""
+    _add(spark, f"`{database}`.{run.feed_type}", run_files(spark, run))
+    spark.catalog.refreshTable(f"`{database}`.{run.feed_type}")
+
+
+def _add(spark: SparkSession, name: str, partitions: DataFrame) -> None:
+    """One statement for each ``STATEMENT_PARTITIONS`` of them: the driver passes names on, a few at a time."""
+    rows = partitions.select("date", "base64url").distinct().toLocalIterator()
+    while some := list(islice(rows, STATEMENT_PARTITIONS)):
+        parts = " ".join(f"PARTITION (date = DATE'{row.date}', base64url = '{row.base64url}')" for row in some)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+
+
 def preview(
     spark: SparkSession, root: str, feed_type: str, date: str, base64url: str, rows: int = PREVIEW_ROWS
 ) -> DataFrame:

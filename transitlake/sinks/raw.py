@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import posixpath
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from transitlake.functions.codec import base64url_encode
 from transitlake.functions.paths import path_stem, raw_path
 from transitlake.functions.times import utc_date, utc_hour, utc_iso
+from transitlake.sources.archive import store_of
 
 # Response headers that are kept.
 KEPT_HEADERS = ("etag", "last-modified", "content-type", "content-length")
@@ -48,3 +53,29 @@ def snapshot_rows(fetches: DataFrame) -> DataFrame:
         base64url_encode(url).alias("base64url"), path.alias("source_file"), path_stem(path).alias("stem"),
         F.length("content").cast("bigint").alias("length"), F.col("fetch_ts").alias("fetch_timestamp"), "content",
     )
+
+
+def sidecars(snapshots: DataFrame, document: Column) -> DataFrame:
+    """Objects (path, content) that hold the fetch record ``document`` beside each snapshot."""
+    return snapshots.select(F.concat("stem", F.lit(".meta")).alias("path"), document.cast("binary").alias("content"))
+
+
+def store_objects(objects: DataFrame, root: str) -> int:
+    """Write each row (path, content) as an object of its own below ``root``, from the tasks that hold the rows; returns how many
+    there are. A task that is repeated writes the same objects again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = store_of(root)
+        made = set()
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                target = posixpath.join(base, path)
+                if (folder := posixpath.dirname(target)) not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(target) as out:
+                    out.write(content or b"")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["stored"])
+
+    stored = objects.select("path", F.col("content").cast("binary").alias("content")).mapInArrow(run, "stored BIGINT")
+    return stored.agg(F.coalesce(F.sum("stored"), F.lit(0))).first()[0]

@@ -5,18 +5,25 @@ Every table row becomes its own snapshot, so building them needs no shuffle and
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from transitlake.functions import base64url_encode, path_stem, raw_path, utc_date, utc_stamp
+from transitlake.functions.times import utc_iso
 from transitlake.operators.decode import flatten_snapshots
 from transitlake.operators.inventory import feed_lookup
-from transitlake.plans.catalog import with_feed
-from transitlake.plans.compaction import compact_snapshots
+from transitlake.plans.catalog import create_tables, with_feed
+from transitlake.plans.compaction import compact_run, compact_snapshots
 from transitlake.session import work_folder
-from transitlake.sinks.raw import fetch_record, snapshot_rows
+from transitlake.sinks.raw import fetch_record, sidecars, snapshot_rows, store_objects
+from transitlake.sinks.runs import partition_stats
+from transitlake.sources.listing import partition_figures
 from transitlake.sources.raw import attach_fetch_time, sidecar_fetch_time
-from transitlake.sources.tables import read_table
+from transitlake.sources.tables import read_partition, read_table
 from transitlake.workloads.tables import (
+    FOLDER_FEEDS,
     FOLDED_EVENTS,
     as_feed,
     base64url_sql,
@@ -248,12 +255,79 @@ SELECT 'vehicle_positions' AS feed_type, f.date, {feed_key_sql('f.feed_url')} AS
 FROM f LEFT JOIN w USING (feed_url, date)"""
 
 
+def raw_archive(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The snapshots of all events as objects of a raw archive, those with content beside a sidecar; returns its root.
+
+    The sidecar has the fetch time to the microsecond, the name of the snapshot to the millisecond."""
+    root = f"{work_folder(spark, name)}/raw"
+    events = folded(table(spark, sf_dir, "events"))
+    # Milliseconds from the key keep the names of one feed's snapshots apart.
+    events = events.withColumn("ts", F.timestamp_micros(F.unix_micros("ts") + F.col("event_id") * 1000))
+    snapshots = snapshot_rows(vehicle_fetches(events))
+    record = F.to_json(F.struct(F.lit("x").alias("feed_id"), utc_iso(F.col("fetch_timestamp")).alias("fetch_timestamp")))
+    store_objects(snapshots.select(F.col("source_file").alias("path"), "content"), root)
+    store_objects(sidecars(snapshots.where("length > 0"), record), root)
+    return root
+
+
+def archive_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run records of a raw archive that is listed and read in tasks; empty snapshots have no sidecar and count all the same."""
+    raw = raw_archive(spark, sf_dir, "archive-runs")
+    runs = compact_run(spark, raw, f"{raw}/../archive", "vehicle_positions").records
+    written = F.col("output_path").isNotNull().alias("has_output")
+    return runs.select("feed_type", "date", "feed", "feed_url", "files_processed", "records_written", written)
+
+
+ARCHIVE_EVENTS = f"(SELECT * REPLACE (user_id % {FOLDER_FEEDS} AS user_id, ts + to_milliseconds(event_id) AS ts) FROM events)"
+ARCHIVE_ROWS = _VP_ROWS.replace("FROM events", f"FROM {ARCHIVE_EVENTS}")
+
+ARCHIVE_RUNS = f"""
+WITH {ARCHIVE_ROWS},
+w AS (SELECT feed_url, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM rows GROUP BY ALL),
+f AS (SELECT {feed_url_sql('user_id')} AS feed_url, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM {ARCHIVE_EVENTS} GROUP BY ALL)
+SELECT 'vehicle_positions' AS feed_type, f.date, {feed_key_sql('f.feed_url')} AS feed, f.feed_url,
+       f.n AS files_processed, coalesce(w.n, 0) AS records_written, w.n IS NOT NULL AS has_output
+FROM f LEFT JOIN w USING (feed_url, date)"""
+
+
+def archive_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every partition after two runs, from the figures that the runs kept: no footer is opened."""
+    snapshots, root = _compacted(spark, sf_dir, "archive-figures")
+    worse = _gone_bad(snapshots).where(F.col("date") < "2024-01-10")
+    compact_snapshots(worse, root, "vehicle_positions", _sidecars(worse))
+    kept = partition_stats(spark, root)
+    return partition_figures(spark, root, kept).select("feed_type", "date", "base64url", "row_count")
+
+
+ARCHIVE_FIGURES = f"""
+WITH {_FOLDED_ROWS}
+SELECT 'vehicle_positions' AS feed_type, strftime(ts, '%Y-%m-%d') AS date, {base64url_sql('feed_url')} AS base64url, count(*) AS row_count
+FROM rows GROUP BY ALL"""
+
+
+def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL on a catalogue table whose partitions the run added."""
+    _, root = _compacted(spark, sf_dir, "catalog-sql")
+    database = f"archive_{uuid.uuid4().hex}"
+    create_tables(spark, root, database)
+    return spark.sql(
+        f"SELECT feed_url, count(*) AS positions, count(trip_id) AS on_trip, max(timestamp) AS last_stamp "
+        f"FROM `{database}`.vehicle_positions WHERE date BETWEEN DATE'2024-01-05' AND DATE'2024-01-20' GROUP BY feed_url"
+    )
+
+
+CATALOG_SQL = f"""
+WITH {_FOLDED_ROWS}
+SELECT feed_url, count(*) AS positions, count(*) FILTER (WHERE has_trip) AS on_trip, max(CASE WHEN i <> 3 THEN s + i END) AS last_stamp
+FROM rows WHERE strftime(ts, '%Y-%m-%d') BETWEEN '2024-01-05' AND '2024-01-20' GROUP BY feed_url"""
+
+
 def partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One day of every feed, read through the partition filter."""
+    """One day of every feed, each read as the partition that it is."""
     _, root = _compacted(spark, sf_dir, "partition-read")
-    facts = read_table(spark, root, "vehicle_positions")
-    day = facts.where("date = DATE'2024-01-15'")
-    return day.groupBy("base64url", F.col("date").cast("string").alias("date")).agg(
+    feeds = [base64url_of(spark, key) for key in range(FOLDER_FEEDS)]
+    days = [read_partition(spark, root, "vehicle_positions", "2024-01-15", feed) for feed in feeds]
+    return functools.reduce(DataFrame.unionByName, days).groupBy("base64url", F.col("date").cast("string").alias("date")).agg(
         F.count("*").alias("rows"), F.sum("occupancy_percentage").alias("occupancy")
     )
 
@@ -265,6 +339,10 @@ SELECT {base64url_sql('feed_url')} AS base64url, strftime(ts, '%Y-%m-%d') AS dat
 FROM rows WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15' GROUP BY ALL"""
 
 
+def base64url_of(spark: SparkSession, key: int) -> str:
+    return spark.range(1).select(base64url_encode(feed_url(F.lit(key)))).first()[0]
+
+
 def agency_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions per agency: the facts joined with the feed dimension. Nations name the feeds."""
     flat = flatten_snapshots(vehicle_snapshots(spark, sf_dir), "vehicle_positions")
@@ -565,6 +643,9 @@ QUERIES = {
     "compacted_feeds": compacted_feeds,
     "compaction_runs": compaction_runs,
     "partition_read": partition_read,
+    "archive_runs": archive_runs,
+    "archive_figures": archive_figures,
+    "catalog_sql": catalog_sql,
     "agency_positions": agency_positions,
     "sidecar_join": sidecar_join,
     "fetch_records": fetch_records,
@@ -578,6 +659,9 @@ ORACLES = {
     "compacted_feeds": COMPACTED_FEEDS,
     "compaction_runs": COMPACTION_RUNS,
     "partition_read": PARTITION_READ,
+    "archive_runs": ARCHIVE_RUNS,
+    "archive_figures": ARCHIVE_FIGURES,
+    "catalog_sql": CATALOG_SQL,
     "agency_positions": AGENCY_POSITIONS,
     "sidecar_join": SIDECAR_JOIN,
     "fetch_records": FETCH_RECORDS,

@@ -215,6 +215,8 @@ def test_views_preview_and_dimension_join(spark, raw, tmp_path):
     assert preview(spark, out, "vehicle_positions", DAY, URL_B64, 5).count() == 5
     joined = with_feed(read_table(spark, out, "vehicle_positions"), feeds)
     assert joined.count() == 14 and "agency_id" in joined.columns
+    salted = with_feed(read_table(spark, out, "vehicle_positions"), feeds, broadcast_rows=0)
+    assert salted.exceptAll(joined).count() == 0 and salted.count() == 14
     assert read_feeds(spark, out).columns[-1] == "load_order" and read_feeds(spark, str(tmp_path)).count() == 0
 
 

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from transitlake.schemas import FEED_TYPES, SCHEDULE_TABLES, TABLES
+from transitlake.session import BROADCAST_ROWS, is_small
 from transitlake.sinks.runs import Run, partition_stats, run_files
 from transitlake.sources.raw import path_exists
 from transitlake.sources.tables import read_partition, read_schedule_table, read_table, schedule_layouts
 
 # Rows of a preview.
 PREVIEW_ROWS = 100
+# Parts of a feed where the dimension is too large to be broadcast.
+FEED_SALTS = 16
 # Partitions that one statement adds.
 STATEMENT_PARTITIONS = 500
 
@@ -77,14 +80,20 @@ def _add(spark: SparkSession, name: str, partitions: DataFrame) -> None:
 def preview(
     spark: SparkSession, root: str, feed_type: str, date: str, base64url: str, rows: int = PREVIEW_ROWS
 ) -> DataFrame:
-    """First rows of one day of one feed."""
-    return read_partition(spark, root, feed_type, date, base64url).limit(rows)
+    """First rows of one day of one feed, in time order."""
+    return read_partition(spark, root, feed_type, date, base64url).orderBy("source_file").limit(rows)
 
 
-def with_feed(fact: DataFrame, feeds: DataFrame) -> DataFrame:
+def with_feed(fact: DataFrame, feeds: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Facts with the dimension columns of their feed, joined on base64url.
 
-    The dimension is reduced to one row per key by the caller; its size decides the join strategy.
+    The dimension is reduced to one row per key by the caller. Up to ``broadcast_rows`` of it are broadcast. A larger one is listed
+    once for each of ``FEED_SALTS`` salts, which facts take from their provenance: one feed may hold a large part of them.
     """
     extra = [name for name in feeds.columns if name not in fact.columns]
-    return fact.join(feeds.select("base64url", *extra), "base64url")
+    dimension = feeds.select("base64url", *extra)
+    if is_small(dimension, broadcast_rows):
+        return fact.join(F.broadcast(dimension), "base64url")
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(FEED_SALTS - 1).cast("bigint"))
+    salted = fact.withColumn("salt", F.pmod(F.xxhash64(*fact.columns), F.lit(FEED_SALTS).cast("bigint")))
+    return salted.join(dimension.select("*", F.explode(salts).alias("salt")), ["base64url", "salt"]).drop("salt")

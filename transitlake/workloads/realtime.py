@@ -14,7 +14,7 @@ from transitlake.functions import base64url_encode, path_stem, raw_path, utc_dat
 from transitlake.functions.times import utc_iso
 from transitlake.operators.decode import flatten_snapshots
 from transitlake.operators.inventory import feed_lookup
-from transitlake.plans.catalog import create_tables, with_feed
+from transitlake.plans.catalog import create_tables, preview, with_feed
 from transitlake.plans.compaction import compact_run, compact_snapshots
 from transitlake.session import work_folder
 from transitlake.sinks.raw import fetch_record, sidecars, snapshot_rows, store_objects
@@ -339,6 +339,25 @@ SELECT {base64url_sql('feed_url')} AS base64url, strftime(ts, '%Y-%m-%d') AS dat
 FROM rows WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15' GROUP BY ALL"""
 
 
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of one day of every feed: as many as a preview has, and the snapshots they come from."""
+    _, root = _compacted(spark, sf_dir, "preview")
+    feeds = [base64url_of(spark, key) for key in range(FOLDER_FEEDS)]
+    first = [preview(spark, root, "vehicle_positions", "2024-01-15", feed, rows=7) for feed in feeds]
+    return functools.reduce(DataFrame.unionByName, first).groupBy("feed_url").agg(
+        F.count("*").alias("rows"), F.min("source_file").alias("first_file"), F.max("source_file").alias("last_file")
+    )
+
+
+PREVIEW_ROWS = f"""
+WITH {_FOLDED_ROWS},
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY feed_url ORDER BY source_file) AS pos
+  FROM rows WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15')
+SELECT feed_url, count(*) AS rows, min(source_file) AS first_file, max(source_file) AS last_file
+FROM ordered WHERE pos <= 7 GROUP BY feed_url"""
+
+
 def base64url_of(spark: SparkSession, key: int) -> str:
     return spark.range(1).select(base64url_encode(feed_url(F.lit(key)))).first()[0]
 
@@ -646,6 +665,7 @@ QUERIES = {
     "archive_runs": archive_runs,
     "archive_figures": archive_figures,
     "catalog_sql": catalog_sql,
+    "preview_rows": preview_rows,
     "agency_positions": agency_positions,
     "sidecar_join": sidecar_join,
     "fetch_records": fetch_records,
@@ -662,6 +682,7 @@ ORACLES = {
     "archive_runs": ARCHIVE_RUNS,
     "archive_figures": ARCHIVE_FIGURES,
     "catalog_sql": CATALOG_SQL,
+    "preview_rows": PREVIEW_ROWS,
     "agency_positions": AGENCY_POSITIONS,
     "sidecar_join": SIDECAR_JOIN,
     "fetch_records": FETCH_RECORDS,

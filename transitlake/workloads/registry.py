@@ -14,6 +14,7 @@ from transitlake.operators.telemetry import active_feeds, feeds_by_shard
 from transitlake.schemas import AGENCIES, FEED_TYPES, struct
 from transitlake.session import work_folder
 from transitlake.sinks.compacted import write_feeds
+from transitlake.sources.registry import read_registry
 from transitlake.sources.tables import read_feeds
 from transitlake.workloads.tables import base64url_sql, feed_key_sql, table
 
@@ -135,8 +136,8 @@ flat AS (
   FROM listed)"""
 
 
-def registry_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_registry(agencies(spark, sf_dir)).select(
+def _flat(registry: DataFrame) -> DataFrame:
+    return flatten_registry(registry).select(
         "feed_id", "feed_name", "url", "feed_type", "agency_id", "agency_name", "system_id", "system_name",
         "interval_seconds", "timeout_seconds", "retry.max_attempts", "retry.backoff_max",
         F.col("auth.secret_name"), "schedule_url", F.array_join("schedule_urls", " ").alias("schedule_urls"),
@@ -145,6 +146,21 @@ def registry_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SYSTEM_NAME = "CASE o WHEN 1 THEN 'Bus' WHEN 2 THEN 'Rail' END AS system_name"
 
+def registry_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(agencies(spark, sf_dir))
+
+
+def registry_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry written as one document, read back and flattened."""
+    path = f"{work_folder(spark, 'registry')}/agencies.yaml"
+    rows = agencies(spark, sf_dir)
+    entry = F.struct("agency_pos", F.struct(*(name for name in rows.columns if name != "agency_pos")).alias("a"))
+    # A registry has the size of a configuration; JSON is YAML.
+    listed = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["a"])
+    rows.agg(F.to_json(F.struct(listed.alias("agencies"))).alias("value")).write.text(path)
+    return _flat(read_registry(spark, path)[0])
+
+
 REGISTRY_FEEDS = f"""
 WITH {_FEEDS}
 SELECT feed_id, feed_name, url, feed_type, agency_id, agency_name, sys AS system_id, {_SYSTEM_NAME},
@@ -234,6 +250,7 @@ UNION ALL SELECT shard::VARCHAR, count(*), count(*) FROM sharded GROUP BY shard"
 
 QUERIES = {
     "registry_feeds": registry_feeds,
+    "registry_document": registry_document,
     "registry_violations": violations,
     "feed_dimension": feed_dimension,
     "unique_schedule_urls": unique_schedule_urls,
@@ -242,6 +259,7 @@ QUERIES = {
 
 ORACLES = {
     "registry_feeds": REGISTRY_FEEDS,
+    "registry_document": REGISTRY_FEEDS,
     "registry_violations": VIOLATIONS,
     "feed_dimension": FEED_DIMENSION,
     "unique_schedule_urls": UNIQUE_SCHEDULE_URLS,

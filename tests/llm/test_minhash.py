@@ -69,7 +69,7 @@ def test_components(spark, rows, size):
 
 def test_blocks_do_not_change_the_result(spark, rows, monkeypatch):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    for name, value in (("BLOCK", 7), ("BLOCK_SETS", 5), ("BLOCK_SHINGLES", 900), ("SLAB", 50), ("BUCKETS", 16), ("WORDS", 40), ("PICKED", 3)):
+    for name, value in (("BLOCK", 7), ("BLOCK_SETS", 5), ("BLOCK_SHINGLES", 900), ("SLAB", 50), ("BUCKETS", 16), ("PIECE", 300), ("PICKED", 3), ("SMALL", 3), ("TOGETHER", 1)):
         monkeypatch.setattr(minhash, name, value)
     assert found(frame) == brute(rows, 2)
 
@@ -87,6 +87,27 @@ def test_texts_longer_than_the_sketch(spark):
     assert 5 < len({c for _, _, c in expected}) - 40 < 35
 
 
+def test_shingle_sets(monkeypatch):
+    """Equal words have equal hashes wherever they stand, different ones different hashes, in pieces of any size."""
+    rng = random.Random(5)
+    pool = ["".join(rng.choice("abcé\x00z1") for _ in range(rng.randint(1, 9))) for _ in range(400)] + ["a", "A", "aa", "aaa", "1" * 5000]
+    texts = [rng.choice(["", " ", "\n\t"]) + "".join(rng.choice(pool) + rng.choice([" ", "\x0b", " \x0c\r", "  "]) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    texts += [None, "", "x" * 9000, " ".join(pool * 3)]
+    for size in (1, 2, 5):
+        for piece in (64, 1 << 18):
+            monkeypatch.setattr(minhash, "PIECE", piece)
+            sets = minhash.shingle_sets([None if t is None else t.encode() for t in texts], size)
+            plain = [shingled(t, size) for t in texts]
+            names: dict = {}
+            assert [len(s) for s in sets] == [len(p) for p in plain]
+            for own, words in zip(sets, plain):
+                assert (np.diff(own.astype(object)) > 0).all()
+                for w in words:
+                    names.setdefault(w, set(own.tolist()))
+                    names[w] &= set(own.tolist())
+            assert all(names.values()) and len({h for s in sets for h in s.tolist()}) == len({w for p in plain for w in p})
+
+
 def test_estimates():
     rng = np.random.default_rng(1)
     least = minhash.shared_least()

@@ -10,7 +10,8 @@ inside ``article`` or ``main`` is main text, inside navigation, headers, footers
 used in altered form: articles under other tags, boilerplate blocks set into articles; so the trees have to weigh content and
 attributes where the markup says nothing.
 
-Defined cases: a null or empty page has the empty text and no characters; markup that never closes is closed at the end, end tags that
+Defined cases: a null or empty page has the empty text and no characters; markup that never closes is closed at the end, but an
+unclosed element that holds no text (a button, a drawing) before the next block; end tags that
 close nothing are ignored, a stray ``<`` is text; repeated rows count each for themselves; an empty table gives an empty result; other columns of
 the input are not looked at.
 """
@@ -21,6 +22,8 @@ import html
 import math
 import random
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -79,6 +82,35 @@ CLOSED_BY_BLOCK = "p"
 N_FEATURES = 27
 
 
+class _Marks:
+    """Where the tags of a name stand in a page. Names are compared without case in ASCII, in the page itself: some letters change
+    their length in lower case."""
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.found: dict[tuple[str, str], list[int]] = {}
+
+    def _places(self, before: str, name: str) -> list[int]:
+        if (before, name) not in self.found:
+            pattern = re.compile(rf"{before}{name}(?![a-z0-9:-])", re.I | re.A)
+            self.found[before, name] = [m.start() for m in pattern.finditer(self.source)]
+        return self.found[before, name]
+
+    def _next(self, before: str, name: str, position: int) -> int | None:
+        places = self._places(before, name)
+        k = bisect_left(places, position)
+        return places[k] if k < len(places) else None
+
+    def next_end(self, name: str, position: int) -> int | None:
+        """Place of the next end tag of ``name``."""
+        return self._next("</", name, position)
+
+    def closed(self, name: str, position: int) -> bool:
+        """Whether an element that is open at ``position`` is closed before another of its name opens."""
+        end, start = self.next_end(name, position), self._next("<", name, position)
+        return end is not None and (start is None or end < start or name == "svg")
+
+
 class Page:
     """Nodes in page order; parents come before their children."""
 
@@ -126,45 +158,66 @@ class Page:
                 if state["inside_link"]:
                     state["links"] += len(piece)
 
+        def close(k: int) -> None:
+            """Close the open elements from the ``k``-th on."""
+            for node in stack[k:]:
+                opened[self.tag[node]] -= 1
+            del stack[k:]
+
         at, skipping = 0, None
         depth = 0
-        lowered = None
         position = 0
+        marks = _Marks(source)
+        # How many elements of a name are open.
+        opened = Counter()
+        # Behind the last ``>`` no tag ends, and none is looked for.
+        last = source.rfind(">") + 1
         while True:
-            m = TOKEN.search(source, position)
+            m = TOKEN.search(source, position, last)
             if m is None:
                 break
             position = m.end()
             name = m[2].lower() if m[2] else None
             if skipping:
-                # Inside an element that never holds text: wait for its end.
-                if name == skipping:
-                    depth += -1 if m[1] else 1
-                    if depth <= 0:
-                        skipping = None
-                at = position
-                continue
+                if name in GROUPS and not m[1] and not marks.closed(skipping, m.start()):
+                    # An element that is never closed ends before the next block.
+                    skipping = None
+                    at = m.start()
+                else:
+                    # Inside an element that never holds text: wait for its end.
+                    if name == skipping:
+                        depth += -1 if m[1] else 1
+                        if depth <= 0:
+                            skipping = None
+                    at = position
+                    continue
             add(source[at : m.start()], at)
             at = position
             if name is None:
+                if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                    # A comment that is never closed holds the rest of the page.
+                    at = position = len(source)
                 continue
             if m[1]:
                 if name == "a":
                     state["inside_link"] = 0
-                elif name in GROUPS:
+                elif opened[name]:
                     for k in range(len(stack) - 1, 0, -1):
                         if self.tag[stack[k]] == name:
                             flush()
-                            del stack[k:]
+                            close(k)
                             break
                 continue
             if name in SKIPPED:
                 if not m[3].endswith("/"):
                     if name in RAW:
-                        lowered = lowered if lowered is not None else source.lower()
-                        end = lowered.find(f"</{name}", position)
-                        close = source.find(">", end) if end >= 0 else -1
-                        position = at = len(source) if close < 0 else close + 1
+                        end = marks.next_end(name, position)
+                        if end is not None:
+                            close_at = source.find(">", end)
+                            position = at = len(source) if close_at < 0 else close_at + 1
+                        elif name in ("script", "style"):
+                            # Their content is code to the end of the page; of the others an end was forgotten.
+                            position = at = len(source)
                     elif name == "head":
                         # What belongs into a head is skipped by itself.
                         continue
@@ -180,20 +233,22 @@ class Page:
             elif name in GROUPS and name not in VOID:
                 flush()
                 if self.tag[stack[-1]] == CLOSED_BY_BLOCK and name not in ("figure", "figcaption"):
-                    stack.pop()
+                    close(len(stack) - 1)
                 ends = ENDS.get(name)
-                if ends:
+                if ends and any(opened[tag] for tag in ends):
                     for k in range(len(stack) - 1, 0, -1):
                         if self.tag[stack[k]] in ends:
-                            del stack[k:]
+                            close(k)
                             if name != "tr":
                                 break
                         elif self.tag[stack[k]] in ("ul", "ol", "dl", "table", "tbody", "thead", "tr"):
                             break
                 if name not in ("html", "body") or m[3].strip():
                     stack.append(self._node(name, stack[-1], m[3], m.start()))
+                    opened[name] += 1
         if not skipping:
-            add(source[at:], at)
+            rest = source[at:]
+            add(rest[: rest.index("<!--")] if "<!--" in rest else rest, at)
         flush()
 
 

@@ -15,8 +15,8 @@ Jaccard similarity of their sets is ``similarity`` or more. Three steps find the
 
 Nobody emits the pairs of a large list. The large lists that begin with the same set form a group; first the members are compared with
 this first set alone. Groups that do not fall into one component by that are compared again: their members outside the largest component
-against all others, in blocks of bounded size, which give back the members that have a possible partner (step 2), then one link for each
-member and foreign component (step 3). Two sets that meet in several groups are compared in the first of them. A large group of near copies thus costs rows in proportion to its members.
+against all others, in blocks of bounded size, which give back the members that have a possible partner (step 2), then as many links as bring
+the members of a block together (step 3). Two sets that meet in several groups are compared in the first of them. A large group of near copies thus costs rows in proportion to its members.
 
 Defined cases: a null text is one without words; a document without words has an empty set and links with nothing; fewer words than
 a shingle count as one shingle; equal sets are one in all of this; a null ``doc_id`` takes part and counts after all others when
@@ -222,8 +222,8 @@ def listed(sets: DataFrame, levels: np.ndarray, similarity: float, sketch: int)
 
 
 def lists(values: DataFrame) -> DataFrame:
-    """(v, kind, fp, n, home, size, first): the lists with more than one set. A list holds the sets of a value and of a class of sizes, and
-    as guests those of the class below. ``first`` is the set with the smallest name and its size.
+    """(v, kind, fp, n, home, size): the lists with more than one set. A list holds the sets of a value and of a class of sizes, and
+    as guests those of the class below.
 
     Counts go ahead of the rows: a value that one set has, or sets of sizes far apart only, moves no further."""
     own = F.expr("shiftleft(1L, kind)")
@@ -234,7 +234,7 @@ def lists(values: DataFrame) -> DataFrame:
     met = values.join(counts, "v").where(twice | (F.expr("kinds & (shiftleft(1L, kind + 1) | shiftrightunsigned(shiftleft(1L, kind), 1))") != 0))
     places = F.array(F.struct("kind", F.lit(True).alias("home")), F.struct((F.col("kind") + 1).alias("kind"), F.lit(False).alias("home")))
     placed = met.select("v", "fp", "n", F.explode(places).alias("place")).select("v", "place.kind", "fp", "n", "place.home")
-    stats = placed.groupBy("v", "kind").agg(F.count(F.lit(1)).alias("size"), F.bool_or("home").alias("used"), F.min(F.struct("fp", "n")).alias("first"))
+    stats = placed.groupBy("v", "kind").agg(F.count(F.lit(1)).alias("size"), F.bool_or("home").alias("used"))
     return placed.join(stats.where("size > 1 AND used").drop("used"), ["v", "kind"])
 
 
@@ -383,9 +383,21 @@ def possible(groups: DataFrame, sets: DataFrame, similarity: float, sketch: int)
     return blocks.mapInArrow(run, "f long, fp long").distinct()
 
 
+def joining(fp: np.ndarray, root: np.ndarray, left: np.ndarray, right: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links between rows ``left`` and ``right`` as many as bring the same components together: fewer than there are rows."""
+    label = np.unique(root, return_inverse=True)[1]
+    pairs = []
+    for x in np.flatnonzero(linked.any(1)).tolist():
+        a, ys = left[x], right[np.flatnonzero(linked[x])]
+        for found, first in zip(*np.unique(label[ys], return_index=True)):
+            if found != label[a]:
+                pairs.append((fp[a], fp[ys[first]]))
+                label[label == found] = label[a]
+    return pairs
+
+
 def similar(groups: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(a, b): for each member to compare and each other component of its group a member of it with a similar whole set, if there
-    is one. ``groups`` has ``text_hash``, which names a text of the set."""
+    """(a, b): members with similar whole sets, as many of a block as bring together what they connect. ``groups`` has ``text_hash``, which names a text of the set."""
     share = Fraction(str(similarity))
     p, q = share.numerator, share.denominator
 
@@ -402,10 +414,7 @@ def similar(groups: DataFrame, docs: DataFrame, shingle: int, similarity: float)
                 continue
             common = block.common()
             linked = due & (common * (p + q) >= p * (n[left][:, None] + n[right][None, :]))
-            pairs = []
-            for x in np.flatnonzero(linked.any(1)).tolist():
-                ys = right[np.flatnonzero(linked[x])]
-                pairs += [(fp[left[x]], fp[y]) for y in ys[np.unique(root[ys], return_index=True)[1]]]
+            pairs = joining(fp, root, left, right, linked)
             if pairs:
                 a, b = np.array(pairs, np.int64).T
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -430,9 +439,13 @@ def links(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, similarity:
     share = Fraction(str(similarity))
     found = hold(lists(listed(sets, frequencies(sets), similarity, sketch)), "minhash-lists")
     pairs = counted_pairs(found.where(F.col("size") <= SMALL), share)
-    members = found.where((F.col("size") > SMALL) & (F.col("fp") != F.col("first.fp")))
-    members = members.groupBy(F.col("first.fp").alias("f"), "fp").agg(F.max(_alike(F.col("n"), F.col("first.n"), share)).alias("near"))
-    members = hold(members, "minhash-groups")
+    # A large list begins with the set that is in most of them: the one that a crowd of near copies is around.
+    large = found.where(F.col("size") > SMALL)
+    large = hold(large.join(large.groupBy("fp").agg(F.count(F.lit(1)).alias("weight")), "fp"), "minhash-large")
+    first = F.max(F.struct("weight", "fp", "n")).alias("first")
+    members = large.join(large.groupBy("v", "kind").agg(first), ["v", "kind"]).where(F.col("fp") != F.col("first.fp"))
+    near = F.max(_alike(F.col("n"), F.col("first.n"), share)).alias("near")
+    members = hold(members.groupBy(F.col("first.fp").alias("f"), "fp").agg(near, F.max("first.weight").alias("weight")), "minhash-groups")
 
     def compared(groups: DataFrame) -> DataFrame:
         maybe = possible(groups, sets, similarity, sketch)
@@ -444,7 +457,7 @@ def links(docs: DataFrame, rows: DataFrame, shingle: int = SHINGLE, similarity:
         return rows.union(rows.select("f", F.col("f").alias("fp")).distinct())
 
     # A member of several groups is compared with one first set: that is enough to bring a crowd together.
-    with_one = members.where("near").groupBy("fp").agg(F.min("f").alias("f")).select("f", "fp")
+    with_one = members.where("near").groupBy("fp").agg(F.max_by("f", F.struct("weight", "f")).alias("f")).select("f", "fp")
     star = with_first(hold(pairs.union(with_one).distinct(), "minhash-pairs"))
     none = F.array().cast("array<long>").alias("hubs")
     star = star.select("f", "fp", F.col("fp").alias("root"), (F.col("fp") == F.col("f")).alias("left"), none)

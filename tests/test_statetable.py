@@ -114,6 +114,24 @@ def test_stale_feeds(spark, polls, tmp_path):
     assert seen[3] == [("a", 0), ("a", 60), ("b", 49), ("b", 100)]
 
 
+def test_staleness_loses_no_poll_between_parts(spark, tmp_path):
+    """A long poll ends behind the start of the next part, and the log goes on into a second month; no success may be taken for late."""
+    from transitlake.workloads.streams import staleness
+
+    def at(day, clock, month=1):
+        return datetime.fromisoformat(f"2024-{month:02d}-{day:02d}T{clock}").replace(tzinfo=timezone.utc)
+
+    polls = [(1, at(1, "00:00:00"), 1.0), (2, at(8, "23:59:50"), 500.0), (3, at(9, "00:00:05"), 1.0), (1, at(30, "00:00:00"), 1.0),
+             (4, at(3, "00:00:00", 2), 1.0), (5, at(20, "00:00:00", 2), 1.0), (1, at(28, "00:00:00", 2), 1.0)]
+    rows = [(n, ts, user, "a", value, '{"k": 8}') for n, (user, ts, value) in enumerate(polls)]
+    schema = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    found = sorted((r.feed_id, r.last_success_ms) for r in staleness(spark, str(tmp_path)).collect())
+    ends = [(f"feed-{user}", int(ts.timestamp() * 1000) + round(value * 110)) for user, ts, value in polls]
+    # All but the very last success are followed by a day of silence.
+    assert found == sorted(ends[:-1])
+
+
 def test_late_snapshots_become_requests(spark, tmp_path):
     """An hour is closed two hours past its end by the clock of the batches before; a repeated batch changes nothing."""
     url = "aHR0cHM6Ly9h"

@@ -104,7 +104,8 @@ class Staleness(StatefulProcessor):
 def stale_feeds(log: DataFrame, after_seconds: int, late: str = "0 seconds") -> DataFrame:
     """Feeds that had no full success for ``after_seconds``, each time that happens, as soon as the stream has passed that moment.
 
-    One row of state and one timer for each feed, however many polls come in. Start the query under the settings of
+    One row of state and one timer for each feed, however many polls come in. Polls have to come in about as they end: what ends
+    more than ``late`` before the last end of the parts before it is left out. Start the query under the settings of
     ``session.keyed_state``.
     """
     done = F.col("fetch_ok") & F.coalesce("upload_ok", F.lit(False))

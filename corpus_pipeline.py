@@ -10,18 +10,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from transitlake.llm import decontamination, minhash, mixing, sharding, toxicity
+from transitlake.llm import decontamination, minhash, mixing, sharding, simhash, toxicity
 from transitlake.llm.common import hold, table
 
 
+# Words of a shingle in the stage of near duplicates.
+PIPELINE_SHINGLE = 5
+
+
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents predicted toxic."""
     return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates: five-word shingles, similarity 0.8."""
-    return minhash.keep_one(docs)
+    """Keeps one document of each group of near duplicates. Texts are linked by the SimHash blocks of ``op7_simhash_blocks``, and by
+    similarity 0.8 in five-word shingles, which 2 of 64 bits do not reach."""
+    similar = minhash.near_duplicates(docs, PIPELINE_SHINGLE, minhash.SIMILARITY, empty_alike=True)
+    return simhash.kept(docs, simhash.united(simhash.near_duplicates(docs), similar))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from transitlake.llm import ann, decontamination, html_text, licenses, line_dedup, mixing, pii, sharding, shingles, simhash, toxicity
 
@@ -192,6 +194,29 @@ def test_pipeline_drops_similar_texts(spark):
     assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame, "").collect()] == [1]
 
 
+def test_pipeline_links_by_simhash_too(spark, monkeypatch):
+    """Links of the fingerprints count beside those of the sets, and a document in between joins both kinds into one group."""
+    words = prose(random.Random(4), 64).split()
+    long = prose(random.Random(5), 400).split()
+    texts = [
+        (1, " ".join(words)), (2, " ".join([*words[:30], "other", *words[31:]])), (3, " ".join([*words[:30], "Other", *words[31:]])),
+        (4, " ".join(long)), (5, " ".join(long).upper()), (None, "alone with no like"), (7, None), (8, ""),
+    ]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, frame, "")
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(1, texts[0][1]), (4, texts[3][1]), (None, texts[5][1]), (7, None)], key=repr)
+    one = frame.where("doc_id in (1, 2, 4)")
+    rank = "struct(doc_id is null as none, doc_id, xxhash64(text) as text_hash)"
+    own = one.selectExpr("doc_id", "xxhash64(text) AS text_hash", f"{rank} AS keeper")
+    first = own.withColumn("keeper", F.expr("named_struct('none', false, 'doc_id', doc_id, 'text_hash', text_hash)"))
+    least = own.where("doc_id = 1").first().keeper
+    second = own.where("doc_id <> 4").crossJoin(spark.createDataFrame([(least,)], own.select("keeper").schema).withColumnRenamed("keeper", "k"))
+    second = second.select("doc_id", "text_hash", F.col("k").alias("keeper")).unionByName(own.where("doc_id = 4"))
+    assert {(r.doc_id, r.component_id) for r in simhash.united(first, second).collect()} == {(1, 1), (2, 1), (4, 4)}
+    monkeypatch.setattr(corpus_pipeline.simhash, "near_duplicates", lambda docs: second.limit(0))
+    assert corpus_pipeline.near_duplicates(spark, one, "").count() == 0
+
+
 def test_decontamination(spark, odd, none, benchmark):
     word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
     split = lambda t: word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))

@@ -174,6 +174,27 @@ def kept(docs: DataFrame, found: DataFrame) -> DataFrame:
     return one.where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def united(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Classes of rows that are linked by either of two groupings of the same rows, as (doc_id, text_hash, component_id, keeper)."""
+    none = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    row = F.concat_ws(":", none, F.col("text_hash").cast("string"))
+
+    def node(keeper: str) -> Column:
+        held = F.col(keeper)
+        return F.concat_ws(":", F.coalesce(held["doc_id"].cast("string"), F.lit("")), held["text_hash"].cast("string"))
+
+    def of(found: DataFrame, name: str) -> DataFrame:
+        return found.select(row.alias("row"), "doc_id", "text_hash", F.col("keeper").alias(name)).dropDuplicates(["row"])
+
+    rows = of(first, "one").join(of(second, "two").select("row", "two"), "row")
+    rows = hold(rows.select("doc_id", "text_hash", node("one").alias("node"), node("two").alias("other")), "united-rows")
+    roots = hold(components(rows.select(F.col("node").alias("a"), F.col("other").alias("b")), "united-links"), "united-roots")
+    placed = rows.join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("root"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = placed.groupBy("root").agg(F.min(rank).alias("keeper"))
+    return placed.join(best, "root").select("doc_id", "text_hash", F.col("keeper.doc_id").alias("component_id"), "keeper")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract of ``op7_simhash_blocks``."""
     found = near_duplicates(table(spark, sf_dir, "documents"))

@@ -360,3 +360,22 @@ def test_catalogue_tables_look_at_named_days_only(spark, raw, tmp_path):
     finally:
         spark.sql("DROP DATABASE archive_test CASCADE")
     assert read_table(spark, out, "vehicle_positions").count() == 16
+
+
+def test_a_task_holds_few_slices(spark):
+    """Thirty feeds of 12 MiB on a day: a task gets some of them, not the rows of 128 MiB."""
+    from transitlake.operators.layout import SlicePlan
+
+    rows = spark.range(30).selectExpr("'2024-01-01' AS date", "cast(id AS string) AS base64url", "'h' AS hour", "'s' AS stem", "12582912L AS length")
+    plan = SlicePlan(rows)
+    assert plan.partitions >= 20
+    loads = plan.place(rows).groupBy(F.spark_partition_id()).agg(F.sum("length").alias("bytes"))
+    assert loads.agg(F.max("bytes")).first()[0] <= 96 * 1024 * 1024
+
+
+def test_stand_ins_are_made_in_tasks_of_bounded_size(spark, monkeypatch):
+    from transitlake.workloads import tables
+
+    monkeypatch.setattr(tables, "TASK_ROWS", 100)
+    assert tables.spread(spark.range(0, 2000, 1, 8)).rdd.getNumPartitions() == 20
+    assert tables.spread(spark.range(0, 50, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from transitlake.llm.common import table
@@ -284,21 +285,22 @@ def _training_rows(model: Model):
     return run
 
 
-def fit_linear(rows: list, rounds: int = 200, rate: float = 0.1, shrink: float = 1e-3) -> np.ndarray:
-    """Logistic regression with soft labels, by Adam over all rows at once."""
+def fit_linear(rows: pa.Table, rounds: int = 200, rate: float = 0.1, shrink: float = 1e-3) -> np.ndarray:
+    """Logistic regression with soft labels, by Adam over all rows at once. The rows stay columns: as objects they would take the
+    driver some ten times the memory."""
     weights = np.zeros(DENSE + HASHED)
-    if not rows:
+    if not rows.num_rows:
         weights[0] = -4.0
         return weights
-    dense = np.array([r.dense for r in rows])
-    target = np.array([r.target for r in rows])
-    index = np.concatenate([np.asarray(r["index"], np.int64) for r in rows])
-    value = np.concatenate([np.asarray(r.value) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), [len(r["index"]) for r in rows])
+    dense = pc.list_flatten(rows["dense"]).to_numpy().reshape(-1, DENSE)
+    target = rows["target"].to_numpy()
+    index = pc.list_flatten(rows["index"]).to_numpy().astype(np.int64)
+    value = pc.list_flatten(rows["value"]).to_numpy()
+    owner = np.repeat(np.arange(rows.num_rows), pc.list_value_length(rows["index"]).to_numpy())
     mean, spread = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, rounds + 1):
-        z = dense @ weights[:DENSE] + np.bincount(owner, value * weights[DENSE:][index], len(rows))
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - target) / len(rows)
+        z = dense @ weights[:DENSE] + np.bincount(owner, value * weights[DENSE:][index], rows.num_rows)
+        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - target) / rows.num_rows
         slope = np.concatenate([dense.T @ error, np.bincount(index, value * error[owner], HASHED)]) + shrink * weights / 10
         mean = 0.9 * mean + 0.1 * slope
         spread = 0.999 * spread + 0.001 * slope * slope
@@ -360,11 +362,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         docs.join(F.broadcast(sample), "doc_id")
         .select(F.col("text").cast("binary").alias("text"))
         .mapInArrow(_training_rows(model), "index array<int>, value array<double>, dense array<double>, target double")
-        .collect()
+        .toArrow()
     )
     model.weights = fit_linear(rows)
-    scored = _labelled(docs, labels).mapInArrow(_scores_of(model), "z double, toxic int").collect()
-    model.weights[0] -= best_cut(np.array([r.z for r in scored]), np.array([r.toxic for r in scored], float))
+    scored = _labelled(docs, labels).mapInArrow(_scores_of(model), "z double, toxic int").toArrow()
+    model.weights[0] -= best_cut(scored["z"].to_numpy(), scored["toxic"].to_numpy().astype(float))
     return model
 
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import AbstractContextManager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from transitlake.session import work_folder
+from transitlake.operators.batches import pieces
+from transitlake.session import settings, work_folder
 
 # White space of the word rules: space, tab to carriage return.
 WHITE = "\\x20\\x09-\\x0D"
+# Rows of whole texts that a Python task turns into objects at a time, and those of an Arrow batch in jobs that are started here.
+PIECE_ROWS = 256
+BATCH_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +27,22 @@ def hold(df: DataFrame, name: str) -> DataFrame:
     depend on the executors that did it."""
     spark = df.sparkSession
     path = work_folder(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Arrow batches of at most ``BATCH_ROWS`` rows in the jobs started inside: both JVM and Python worker hold a batch as a whole."""
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    return settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS))
+
+
+def text_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``PIECE_ROWS`` rows. A worker stays as large as its largest batch made it, for all later stages."""
+    return pieces(batches, PIECE_ROWS)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns named like one of ``names``, whatever their case."""
     taken = {n.lower() for n in names}
@@ -47,10 +64,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def by_batch(
     make: Callable[[pa.RecordBatch], pa.RecordBatch],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function for ``mapInArrow`` that turns each batch into one batch."""
+    """A function for ``mapInArrow`` that turns each piece of a batch into one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_pieces(batches):
             yield make(batch)
 
     return run

@@ -23,7 +23,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from transitlake.llm.common import table
+from transitlake.llm.common import by_batch, table, text_pieces
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -186,7 +186,7 @@ def _scanner(block: list, name: str, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(((n, words) for n, _, words in block), window)
         ids = {n: i for n, i, _ in block}
-        for batch in batches:
+        for batch in text_pieces(batches):
             out = []
             for text in batch.column("__text").to_pylist():
                 words = words_of(text)
@@ -256,15 +256,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """One row for each row of ``docs``: its words, the words hit, the items found."""
     kind = docs.select("doc_id").schema["doc_id"].dataType.simpleString()
     found = scanned(docs.select("doc_id", "text"), benchmark, ["doc_id"], window).drop("__text")
-    return found.mapInArrow(_rows(_report), f"doc_id {kind}, {_REPORT}")
-
-
-def _rows(make):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield make(batch)
-
-    return run
+    return found.mapInArrow(by_batch(_report), f"doc_id {kind}, {_REPORT}")
 
 
 def _cleaner(blocks: list[list], window: int, coverage: float):
@@ -272,7 +264,7 @@ def _cleaner(blocks: list[list], window: int, coverage: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automata = [Automaton(((n, words) for n, _, words in block), window) for block in blocks]
-        for batch in batches:
+        for batch in text_pieces(batches):
             texts, keep, counts = [], [], []
             for text in batch.column("text").to_pylist():
                 raw = None if text is None else text.encode()

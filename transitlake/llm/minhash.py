@@ -59,8 +59,9 @@ BLOCK_SETS = 256
 BLOCK_SHINGLES = 1 << 20
 # Texts that are picked by a broadcast of their hashes; more are picked by a shuffle.
 PICKED = 1_000_000
-# Columns of a block that are multiplied at once.
-SLAB = 8192
+# Columns of a block that are multiplied at once, and rows of it that are filtered at once.
+SLAB = 2048
+STRIP = 128
 # Bytes of text that are hashed at once.
 PIECE = 1 << 18
 
@@ -289,14 +290,17 @@ def overlaps(values: np.ndarray, owner: np.ndarray, left: np.ndarray, right: np.
     _, place, counts = np.unique(values, return_inverse=True, return_counts=True)
     again = counts > 1
     place, owner = (np.cumsum(again) - 1)[place][again[place]], owner[again[place]]
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
     width, height = int(again.sum()), int(max(left.max(), right.max())) + 1
-    total = np.zeros((len(left), len(right)), np.float64)
+    total = np.zeros((len(left), len(right)), np.int64)
     for start in range(0, width, SLAB):
-        inside = (place >= start) & (place < start + SLAB)
+        inside = slice(*np.searchsorted(place, (start, start + SLAB)))
         cells = np.zeros((height, min(SLAB, width - start)), np.float32)
         cells[owner[inside], place[inside] - start] = 1
-        total += cells[left] @ cells[right].T
-    return total.astype(np.int64)
+        # Whole numbers up to SLAB, which are exact.
+        np.add(total, cells[left] @ cells[right].T, out=total, casting="unsafe")
+    return total
 
 
 def union_share(a: np.ndarray, b: np.ndarray, sketch: int) -> tuple[int, int]:
@@ -355,24 +359,26 @@ def possible(groups: DataFrame, sets: DataFrame, similarity: float, sketch: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
             block = _Sides(group)
-            fp, n, left, right, values, ends = block.fp, block.n, block.left, block.right, block.values, block.ends
-            if not len(left) or not (due := block.due()).any():
+            fp, n, right, values, ends = block.fp, block.n, block.right, block.values, block.ends
+            if not len(block.left) or not (whole_due := block.due()).any():
                 continue
-            starts = np.concatenate([[0], ends[:-1]])
-            common = block.common()
-            low, high = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
-            union = np.minimum(sketch, np.diff(ends, prepend=0)[left][:, None] + np.diff(ends, prepend=0)[right][None, :] - common)
-            maybe = due & (low * share.denominator >= high * share.numerator) & (common * sketch >= least * union)
+            starts, lengths = np.concatenate([[0], ends[:-1]]), np.diff(ends, prepend=0)
+            whole_common = block.common()
             found = np.zeros(len(fp), bool)
-            for x in np.flatnonzero(maybe.any(1)).tolist():
-                a = left[x]
-                for y in np.flatnonzero(maybe[x]).tolist():
-                    b = right[y]
-                    if found[a] and found[b]:
-                        continue
-                    both, size = union_share(values[starts[a] : ends[a]], values[starts[b] : ends[b]], sketch)
-                    if both * sketch >= least * size:
-                        found[a] = found[b] = True
+            for start in range(0, len(block.left), STRIP):
+                left, due, common = (rows[start : start + STRIP] for rows in (block.left, whole_due, whole_common))
+                low, high = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
+                union = np.minimum(sketch, lengths[left][:, None] + lengths[right][None, :] - common)
+                maybe = due & (low * share.denominator >= high * share.numerator) & (common * sketch >= least * union)
+                for x in np.flatnonzero(maybe.any(1)).tolist():
+                    a = left[x]
+                    for y in np.flatnonzero(maybe[x]).tolist():
+                        b = right[y]
+                        if found[a] and found[b]:
+                            continue
+                        both, size = union_share(values[starts[a] : ends[a]], values[starts[b] : ends[b]], sketch)
+                        if both * sketch >= least * size:
+                            found[a] = found[b] = True
             if found.any():
                 names = np.unique(fp[found])
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(names), block.group, np.int64)), pa.array(names)], ["f", "fp"])

@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from transitlake.llm.common import table
+from transitlake.llm.common import small_batches, table, text_pieces
 
 FOLDS = 5
 # Bounds of the samples: labelled rows for lexicons and threshold, documents for the classifier.
@@ -132,12 +132,13 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows that have each word and word beginning, by class, added up in each task's batches."""
     for batch in batches:
         rows: Counter = Counter()
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            words = set(WORD.findall((text or b"").lower()))
-            rows.update((0, w, toxic) for w in words)
-            for cut in CUTS:
-                rows.update((cut, s, toxic) for s in {w[:cut] for w in words if len(w) >= cut})
-            rows[(-1, b"", toxic)] += 1
+        for piece in text_pieces([batch]):
+            for text, toxic in zip(piece.column("text").to_pylist(), piece.column("toxic").to_pylist()):
+                words = set(WORD.findall((text or b"").lower()))
+                rows.update((0, w, toxic) for w in words)
+                for cut in CUTS:
+                    rows.update((cut, s, toxic) for s in {w[:cut] for w in words if len(w) >= cut})
+                rows[(-1, b"", toxic)] += 1
         keys = list(rows)
         yield pa.RecordBatch.from_arrays(
             [
@@ -180,7 +181,7 @@ def learn_lexicons(docs: DataFrame, labels: DataFrame) -> Lexicons:
 
 def _count_votes(lexicons: Lexicons):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_pieces(batches):
             seen = Counter(_pattern(_votes(_hits(t, lexicons)[1])) for t in batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())], ["pattern", "n"]
@@ -271,7 +272,7 @@ def _linear(text: bytes | None, model: Model) -> float:
 
 def _training_rows(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_pieces(batches):
             rows = []
             for text in batch.column("text").to_pylist():
                 pattern = _pattern(_votes(_hits(text, model.lexicons)[1]))
@@ -310,7 +311,7 @@ def fit_linear(rows: pa.Table, rounds: int = 200, rate: float = 0.1, shrink: flo
 
 def _scores_of(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_pieces(batches):
             z = [_linear(t, model) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(z, pa.float64()), batch.column("toxic")], ["z", "toxic"])
 
@@ -339,7 +340,11 @@ def best_cut(z: np.ndarray, toxic: np.ndarray) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
-    docs = docs.select("doc_id", "text")
+    with small_batches(docs.sparkSession):
+        return _fitted(docs.select("doc_id", "text"), labels)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame) -> Model:
     model = Model(learn_lexicons(docs, labels))
     body = docs.select(F.col("text").cast("binary").alias("text"))
     seen = (
@@ -378,7 +383,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     schema = T.StructType([*rows.drop("__text").schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_pieces(batches):
             z = np.array([_linear(t, model) for t in batch.column("__text").to_pylist()])
             p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             rest = batch.drop_columns(["__text"])
